@@ -62,3 +62,56 @@ def table_shape_q(spark, sf):
 SELECT round(skewness(sale_price), 6) AS skew_raw, round(skewness(ln(sale_price)), 6) AS skew_log FROM model""")
 def target_skew_q(spark, sf):
     return P.target_skew(fr.model_frame(spark, sf))
+
+
+def _corr_top_sql(k: int) -> str:
+    cols = _corr_cols
+    return f"""top AS (
+  SELECT "column" FROM (
+    UNPIVOT (SELECT {', '.join(f'corr(CAST({_q(c)} AS DOUBLE), sale_price) AS {_q(c)}' for c in cols)} FROM model)
+    ON {', '.join(_q(c) for c in cols)} INTO NAME "column" VALUE r)
+  WHERE r IS NOT NULL ORDER BY round(abs(r), 6) DESC, "column" LIMIT {k}),
+longv AS (
+  UNPIVOT (SELECT id AS rid, {', '.join(f'CAST({_q(c)} AS DOUBLE) AS {_q(c)}' for c in cols)} FROM model)
+  ON {', '.join(_q(c) for c in cols)} INTO NAME "column" VALUE v)"""
+
+
+@query("correlation_matrix", B(_corr_top_sql(11)) + """
+SELECT a."column" AS col_a, b."column" AS col_b, round(corr(a.v, b.v), 6) AS corr
+FROM longv a JOIN longv b ON a.rid = b.rid
+WHERE a."column" IN (SELECT "column" FROM top) AND b."column" IN (SELECT "column" FROM top)
+GROUP BY 1, 2""")
+def correlation_matrix_q(spark, sf):
+    return P.correlation_matrix(fr.model_frame(spark, sf), "sale_price", 11)
+
+
+@query("target_histogram", B() + """
+, vals AS (SELECT 'raw' AS kind, CAST(sale_price AS DOUBLE) AS x FROM model
+           UNION ALL SELECT 'log', ln(sale_price) FROM model),
+rng AS (SELECT kind, min(x) AS lo, max(x) AS hi FROM vals GROUP BY kind)
+SELECT v.kind, CAST(CASE WHEN (hi - lo) / 30 > 0 THEN least(floor((x - lo) / ((hi - lo) / 30)), 29) ELSE 0 END AS INTEGER) AS bin,
+       CAST(count(*) AS BIGINT) AS n,
+       round(min(lo) + CAST(CASE WHEN (hi - lo) / 30 > 0 THEN least(floor((x - lo) / ((hi - lo) / 30)), 29) ELSE 0 END AS INTEGER) * min((hi - lo) / 30), 6) AS bin_lo
+FROM vals v JOIN rng r ON v.kind = r.kind GROUP BY 1, 2""".replace("\n, vals", "vals", 0).replace("\n, vals AS", ", vals AS"))
+def target_histogram_q(spark, sf):
+    return P.target_histogram(fr.model_frame(spark, sf), "sale_price", 30)
+
+
+@query("scatter_bins", B() + """
+SELECT CAST(floor(area / 250.0) AS BIGINT) AS x_bin, CAST(floor(sale_price / 25000.0) AS BIGINT) AS y_bin,
+       CAST(count(*) AS BIGINT) AS n, round(avg(overall_qual), 6) AS mean_color
+FROM model WHERE area IS NOT NULL AND sale_price IS NOT NULL GROUP BY 1, 2""")
+def scatter_bins_q(spark, sf):
+    return P.scatter_bins(fr.model_frame(spark, sf))
+
+
+_dict_cols = fr.MODEL_CATEGORICAL
+
+
+@query("category_dictionary", B() + f"""
+SELECT "column", level, n, CAST(row_number() OVER (PARTITION BY "column" ORDER BY level) - 1 AS INTEGER) AS code
+FROM (SELECT "column", level, CAST(count(*) AS BIGINT) AS n FROM (
+        UNPIVOT (SELECT {', '.join(_dict_cols)} FROM model) ON {', '.join(_dict_cols)} INTO NAME "column" VALUE level)
+      WHERE level IS NOT NULL GROUP BY 1, 2)""")
+def category_dictionary_q(spark, sf):
+    return P.category_dictionary(fr.model_frame(spark, sf), _dict_cols)
