@@ -6,3 +6,19 @@ gathered in one distributed pass (see ``operators.gram``).
 """
 
 __version__ = "0.1.0"
+
+
+def _ship_by_value() -> None:
+    """Functions and classes of this package that end up inside Python UDF
+    closures are pickled by value, so executors need not have it installed."""
+    import sys
+
+    try:
+        from pyspark import cloudpickle
+
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # pragma: no cover - older cloudpickle
+        pass
+
+
+_ship_by_value()
