@@ -237,7 +237,7 @@ def _centered(G):
     return n, fbar, ybar, C, cy
 
 
-def _coordinate_descent(C, cy, yvar, n, l1pen, l2pen, max_iter, tol=1e-4):
+def _coordinate_descent(C, cy, yvar, n, l1pen, l2pen, max_iter, tol=1e-4, warm=None):
     """Cyclic coordinate descent on the covariance form; stops on the relative
     coefficient change and then on the duality gap (tolerance scaled by ‖y‖²)."""
     q = len(cy)
@@ -245,22 +245,35 @@ def _coordinate_descent(C, cy, yvar, n, l1pen, l2pen, max_iter, tol=1e-4):
     alpha, beta = l1pen * n, l2pen * n
     y_norm2 = n * yvar
     tol = tol * y_norm2
-    b = np.zeros(q)
-    H = np.zeros(q)
-    diag = np.diag(Q).copy()
+    b = np.zeros(q) if warm is None else warm.copy()
+    H = Q @ b
+    diag = np.diag(Q).tolist()
+    qv_l = qv.tolist()
+    bl = b.tolist()
+    cols = [np.ascontiguousarray(Q[:, j]) for j in range(q)]
     for it in range(max_iter):
         w_max, d_w_max = 0.0, 0.0
         for j in range(q):
-            if diag[j] == 0.0:
+            dj = diag[j]
+            if dj == 0.0:
                 continue
-            old = b[j]
-            rho = qv[j] - H[j] + diag[j] * old
-            new = np.sign(rho) * max(abs(rho) - alpha, 0.0) / (diag[j] + beta)
+            old = bl[j]
+            rho = qv_l[j] - float(H[j]) + dj * old
+            if rho > alpha:
+                new = (rho - alpha) / (dj + beta)
+            elif rho < -alpha:
+                new = (rho + alpha) / (dj + beta)
+            else:
+                new = 0.0
             if new != old:
-                H += Q[:, j] * (new - old)
-                b[j] = new
-            d_w_max = max(d_w_max, abs(new - old))
-            w_max = max(w_max, abs(new))
+                H += cols[j] * (new - old)
+                bl[j] = new
+                d = abs(new - old)
+                if d > d_w_max:
+                    d_w_max = d
+            if abs(new) > w_max:
+                w_max = abs(new)
+        b = np.array(bl)
         if w_max == 0.0 or d_w_max / w_max < 1e-4 or it == max_iter - 1:
             XtA = qv - H - beta * b
             dual = np.max(np.abs(XtA)) if q else 0.0

@@ -24,4 +24,4 @@ def query(name: str, sql: str | None = None):
 
 
 # importing the modules registers their queries
-from . import q_functions, q_prepare, q_profile  # noqa: E402,F401
+from . import q_functions, q_models, q_prepare, q_profile  # noqa: E402,F401
