@@ -70,7 +70,7 @@ def one_feature_ctes(target_sql: str = "ln(sale_price)") -> list[str]:
     feature, and its covariance with y over the training part."""
     ks = ", ".join(f"({j})" for j in range(K))
     return [
-        f"mf AS (SELECT id, {_FOLD} AS fold, area, {target_sql} AS y FROM model)",
+        f"mf AS (SELECT id, {_FOLD} AS fold, area, neighborhood, sale_price, {target_sql} AS y FROM model)",
         f"ks AS (SELECT * FROM (VALUES {ks}) t(k))",
         "med AS (SELECT ks.k, median(m.area) AS med FROM ks JOIN mf m ON m.fold <> ks.k GROUP BY ks.k)",
         """st AS (SELECT ks.k, count(*) AS n, avg(coalesce(m.area, med.med)) AS mx,
