@@ -127,7 +127,7 @@ def one_hot_stages(cols, suffix: str = "_oh"):
     idx = StringIndexer(inputCols=list(cols), outputCols=[c + "_idx" for c in cols],
                         handleInvalid="keep", stringOrderType="alphabetAsc")
     ohe = OneHotEncoder(inputCols=[c + "_idx" for c in cols], outputCols=[c + suffix for c in cols],
-                        dropLast=True, handleInvalid="keep")
+                        dropLast=True)
     return [idx, ohe]
 
 
