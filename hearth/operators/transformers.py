@@ -10,18 +10,39 @@ reference's semantics, hence these small estimators.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BROADCAST_ROW_LIMIT = 1_000_000
 
 
-class MedianImputerModel(Model):
-    def __init__(self, medians: dict):
+class _StateModel(Model, DefaultParamsReadable, DefaultParamsWritable):
+    """Fitted values kept as one JSON param, so the model saves and loads with
+    ``PipelineModel.write()`` / ``PipelineModel.load`` like MLlib stages."""
+
+    state = Param(Params._dummy(), "state", "fitted values as JSON", typeConverter=TypeConverters.toString)
+
+    def __init__(self, **values):
         super().__init__()
-        self.medians = medians
+        self._setDefault(state="{}")
+        if values:
+            self._set(state=json.dumps(values))
+
+    @property
+    def s(self) -> dict:
+        return json.loads(self.getOrDefault(self.state))
+
+
+class MedianImputerModel(_StateModel):
+    @property
+    def medians(self) -> dict:
+        return self.s.get("medians", {})
 
     def _transform(self, df: DataFrame) -> DataFrame:
         return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(m))
@@ -42,13 +63,13 @@ class MedianImputer(Estimator):
         else:
             aggs = [F.median(F.col(c).cast("double")).alias(c) for c in self.cols]
         row = df.agg(*aggs).first()
-        return MedianImputerModel({c: float(row[c]) if row[c] is not None else None for c in self.cols})
+        return MedianImputerModel(medians={c: float(row[c]) if row[c] is not None else None for c in self.cols})
 
 
-class ModeImputerModel(Model):
-    def __init__(self, modes: dict):
-        super().__init__()
-        self.modes = modes
+class ModeImputerModel(_StateModel):
+    @property
+    def modes(self) -> dict:
+        return self.s.get("modes", {})
 
     def _transform(self, df: DataFrame) -> DataFrame:
         return df.withColumns({c: F.coalesce(F.col(c), F.lit(m)) for c, m in self.modes.items()})
@@ -63,13 +84,13 @@ class ModeImputer(Estimator):
 
     def _fit(self, df: DataFrame) -> ModeImputerModel:
         row = df.agg(*[F.mode(c, deterministic=True).alias(c) for c in self.cols]).first()
-        return ModeImputerModel({c: row[c] for c in self.cols})
+        return ModeImputerModel(modes={c: row[c] for c in self.cols})
 
 
-class PopulationScalerModel(Model):
-    def __init__(self, stats: dict):
-        super().__init__()
-        self.stats = stats
+class PopulationScalerModel(_StateModel):
+    @property
+    def stats(self) -> dict:
+        return self.s.get("stats", {})
 
     def _transform(self, df: DataFrame) -> DataFrame:
         return df.withColumns({c: (F.col(c) - F.lit(mu)) / F.lit(sd)
@@ -92,19 +113,17 @@ class PopulationScaler(Estimator):
         for c in self.cols:
             sd = row[f"{c}__s"]
             stats[c] = (float(row[f"{c}__m"]), float(sd) if sd else 1.0)
-        return PopulationScalerModel(stats)
+        return PopulationScalerModel(stats=stats)
 
 
-class OrdinalEncoderModel(Model):
-    def __init__(self, levels: dict, suffix: str):
-        super().__init__()
-        self.levels, self.suffix = levels, suffix
-
+class OrdinalEncoderModel(_StateModel):
     def _transform(self, df: DataFrame) -> DataFrame:
         out = {}
-        for c, lv in self.levels.items():
+        st = self.s
+        suffix = st.get("suffix", "_ord")
+        for c, lv in st.get("levels", {}).items():
             m = F.create_map(*[x for i, v in enumerate(lv) for x in (F.lit(v), F.lit(float(i)))])
-            out[c + self.suffix] = F.coalesce(m[F.col(c)], F.lit(-1.0))
+            out[c + suffix] = F.coalesce(m[F.col(c)], F.lit(-1.0)) if lv else F.lit(-1.0)
         return df.withColumns(out)
 
 
@@ -117,7 +136,7 @@ class OrdinalEncoder(Estimator):
 
     def _fit(self, df: DataFrame) -> OrdinalEncoderModel:
         row = df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in self.cols]).first()
-        return OrdinalEncoderModel({c: list(row[c]) for c in self.cols}, self.suffix)
+        return OrdinalEncoderModel(levels={c: list(row[c]) for c in self.cols}, suffix=self.suffix)
 
 
 def one_hot_stages(cols, suffix: str = "_oh"):
@@ -131,19 +150,36 @@ def one_hot_stages(cols, suffix: str = "_oh"):
     return [idx, ohe]
 
 
-class TargetEncoderModel(Model):
-    def __init__(self, stats: DataFrame, cols, target: str, prior: float, suffix: str):
+class FillMissingModel(_StateModel):
+    def _transform(self, df: DataFrame) -> DataFrame:
+        st = self.s
+        return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit(st["token"])) for c in st["cols"]})
+
+
+class FillMissingStage(Estimator):
+    """Categories as text, null → 'Missing' (the tree view); nothing to fit."""
+
+    def __init__(self, cols, token: str = "Missing"):
         super().__init__()
-        self.stats, self.cols, self.target, self.prior, self.suffix = stats, cols, target, prior, suffix
+        self.cols, self.token = list(cols), token
+
+    def _fit(self, df: DataFrame) -> FillMissingModel:
+        return FillMissingModel(cols=self.cols, token=self.token)
+
+
+class TargetEncoderModel(_StateModel):
+    """Encodings per (column, level) — one entry per level, bounded by the
+    category dictionary — applied as literal map lookups."""
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        out = df
-        for c in self.cols:
-            s = self.stats.filter(F.col("column") == c).select(
-                F.col("level").alias(f"__lv_{c}"), F.col("enc").alias(c + self.suffix))
-            out = out.join(F.broadcast(s), F.col(c) == F.col(f"__lv_{c}"), "left").drop(f"__lv_{c}")
-            out = out.withColumn(c + self.suffix, F.coalesce(F.col(c + self.suffix), F.lit(self.prior)))
-        return out
+        st = self.s
+        out = {}
+        for c in st["cols"]:
+            enc = st["enc"].get(c, {})
+            pairs = [x for lv, v in enc.items() for x in (F.lit(lv), F.lit(float(v)))]
+            looked = F.create_map(*pairs)[F.col(c)] if pairs else F.lit(None).cast("double")
+            out[c + st["suffix"]] = F.coalesce(looked, F.lit(st["prior"]))
+        return df.withColumns(out)
 
 
 def target_encoding_stats(df: DataFrame, cols, target: str, fold_col: str | None = None) -> DataFrame:
@@ -190,8 +226,15 @@ class TargetEncoder(Estimator):
 
     def _fit(self, df: DataFrame) -> TargetEncoderModel:
         stats = target_encoding_stats(df.filter(F.col(self.target).isNotNull()), self.cols, self.target)
-        prior = float(df.agg(F.avg(self.target)).first()[0])
-        return TargetEncoderModel(stats.cache(), self.cols, self.target, prior, self.suffix)
+        enc: dict = {}
+        prior = None
+        for r in stats.collect():  # one row per (column, level)
+            if r["level"] is not None:
+                enc.setdefault(r["column"], {})[r["level"]] = r["enc"]
+            prior = r["prior"]
+        if prior is None:
+            prior = float(df.agg(F.avg(self.target)).first()[0])
+        return TargetEncoderModel(cols=self.cols, enc=enc, prior=prior, suffix=self.suffix)
 
 
 def linear_pipeline(num_cols, cat_cols, out: str = "features") -> Pipeline:

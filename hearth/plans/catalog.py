@@ -24,4 +24,4 @@ def query(name: str, sql: str | None = None):
 
 
 # importing the modules registers their queries
-from . import q_features, q_functions, q_models, q_oof, q_prepare, q_profile  # noqa: E402,F401
+from . import q_features, q_functions, q_models, q_oof, q_prepare, q_profile, q_trees  # noqa: E402,F401
