@@ -25,4 +25,4 @@ def query(name: str, sql: str | None = None):
 
 # importing the modules registers their queries
 from . import q_explain, q_features, q_functions, q_models, q_oof, q_prepare, q_profile, q_trees  # noqa: E402,F401
-from . import q_report  # noqa: E402,F401  (reads the registries filled above)
+from . import q_report, q_stream  # noqa: E402,F401  (read the registries filled above)
