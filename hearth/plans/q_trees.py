@@ -79,23 +79,54 @@ def model_roundtrip_q(spark, sf):
                                   (F.abs(F.col("p1") - F.col("p2")) < 1e-12).alias("same"))
 
 
-@query("ensemble_fit")
-def ensemble_fit_q(spark, sf):
-    """Two-model ensemble: out-of-fold predictions of an elastic net (from the
-    fold statistics) and of a categorical GBT, pooled scores, blend weight by
-    grid search, then the metrics record."""
+def two_model_ensemble(spark, sf):
+    """Elastic net (fold statistics) + categorical GBT: out-of-fold predictions
+    of both, pooled scores, blend weight by grid search, then both refitted on
+    every training row. Returns a dict of the fitted parts and scores."""
     df = folded(spark, sf).cache()
     cv = full_cv(spark, sf)
     spec = LinearSpec("elasticnet", 0.001, 0.5)
+    make_tree = lambda: TR.gbt_categorical_pipeline(NUM, CAT, max_iter=20, depth=4)
     lin = df.withColumn("lin", cv.oof_expr(spec)).select("id", "y", "lin")
-    tree = TR.oof_prediction(df, lambda: TR.gbt_categorical_pipeline(NUM, CAT, max_iter=20, depth=4), K) \
-        .withColumnRenamed("prediction", "tree")
+    tree = TR.oof_prediction(df, make_tree, K).withColumnRenamed("prediction", "tree")
     both = lin.join(tree, "id").cache()
     best_w, best = pick_blend(blend_scores(both, "y", "lin", "tree").collect())
     r = both.agg(F.sqrt(F.avg((F.col("y") - F.col("lin")) ** 2)).alias("l"),
                  F.sqrt(F.avg((F.col("y") - F.col("tree")) ** 2)).alias("t")).first()
-    n_lin = len(cv.transform_for(None).names)
+    return {"w": best_w, "cv_blend": best, "cv_lin": r["l"], "cv_tree": r["t"],
+            "lin_expr": cv.full_expr(spec), "tree_model": make_tree().fit(df),
+            "n_linear_features": len(cv.transform_for(None).names)}
+
+
+@query("ensemble_fit")
+def ensemble_fit_q(spark, sf):
+    """Two-model ensemble fit and its metrics record."""
+    e = two_model_ensemble(spark, sf)
     return spark.createDataFrame(
-        [(best_w, round(r["l"], 6), round(r["t"], 6), round(best, 6), K, len(NUM), len(CAT), n_lin)],
+        [(e["w"], round(e["cv_lin"], 6), round(e["cv_tree"], 6), round(e["cv_blend"], 6), K, len(NUM), len(CAT),
+          e["n_linear_features"])],
         "blend_weight_linear double, cv_rmsle_linear double, cv_rmsle_catboost double, cv_rmsle_blend double, "
         "cv_folds int, n_numeric_features int, n_categorical_features int, n_linear_features int")
+
+
+@query("tree_attribution")
+def tree_attribution_q(spark, sf):
+    """Per held-out listing: blended price, exact TreeSHAP of the GBT branch,
+    currency impact = SHAP × blended price, top 10 by absolute impact."""
+    from ..operators import explain as X
+    from ..operators.treeshap import tree_shap
+    e = two_model_ensemble(spark, sf)
+    te = fr.model_frame(spark, sf, "test")
+    scored = e["tree_model"].transform(te.withColumn("lin", e["lin_expr"]))
+    blend = F.lit(e["w"]) * F.col("lin") + F.lit(1 - e["w"]) * F.col("prediction")
+    scored = scored.withColumn("price", F.greatest(F.exp(blend), F.lit(1.0)))
+    gbt = e["tree_model"].stages[-1]
+    sh = tree_shap(scored, gbt)
+    names = NUM + CAT
+    arr = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(n).cast("string").alias("value"),
+                             F.col("shap")[i].alias("impact_log")) for i, n in enumerate(names)])
+    x = scored.select("id", "price", *names).join(sh, "id") \
+        .select("id", "price", "base_value", X.top_k_factors(arr, 10).alias("factors"))
+    long = X.explode_factors(x, "factors", F.col("price"), keep=("id", "price", "base_value"))
+    return long.select("id", F.round("price", 2).alias("predicted_price"), "rank", "feature", "value",
+                       "impact_log", "impact_eur", "direction")
