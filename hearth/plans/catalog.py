@@ -21,8 +21,3 @@ def query(name: str, sql: str | None = None):
             ORACLE_SQL[name] = sql
         return fn
     return deco
-
-
-# importing the modules registers their queries
-from . import q_explain, q_features, q_functions, q_models, q_oof, q_prepare, q_profile, q_trees  # noqa: E402,F401
-from . import q_report, q_stream  # noqa: E402,F401  (read the registries filled above)
