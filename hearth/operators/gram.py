@@ -391,6 +391,45 @@ class LinearCV:
             errs.append(sse(Gv, b0, b) / nv)
         return float(np.mean(errs))
 
+    def stack_errors(self, bases: list[LinearSpec], meta_alpha: float = 10.0):
+        """Stacked generalisation scored per outer fold, from the cells alone.
+        Inside outer fold k, each base is fitted on the training part less one
+        inner fold (pre-processing refitted there too, except that medians are
+        those of the outer training part) and predicts that inner fold; the
+        meta ridge is fitted on those predictions; the bases are then refitted
+        on the whole training part and the stack scores the outer fold.
+        Every prediction is linear in z, so each step is a quadratic form."""
+        d = self.design.d
+        iy = self.design.index[("y",)]
+        e0, ey = np.eye(1, d, 0).ravel(), np.eye(1, d, iy).ravel()
+        out = []
+        for k in range(self.k):
+            cells = {i: sum((S for key, S in self.cells.items() if key[0] != k and key[1] == i),
+                            np.zeros((d, d))) for i in range(self.k_inner)}
+            tot = sum(cells.values(), np.zeros((d, d)))
+            q = len(bases)
+            Gm = np.zeros((q + 2, q + 2))
+            for i in range(self.k_inner):
+                tf = fold_transform(self.design, tot - cells[i], self.medians[k], self.scale)
+                G = tf.A @ (tot - cells[i]) @ tf.A.T
+                rows = [e0]
+                for spec in bases:
+                    b0, b = solve(G, spec)
+                    rows.append(tf.A.T @ np.concatenate([[b0], b, [0.0]]))
+                rows.append(ey)
+                M = np.vstack(rows)
+                Gm += M @ cells[i] @ M.T
+            a0, a = solve(Gm, LinearSpec("ridge", meta_alpha))
+            tf = self.transform_for(k)
+            q_vec = a0 * e0
+            for w, spec in zip(a, bases):
+                _, b0, b = self.fit(spec, k)
+                q_vec = q_vec + w * (tf.A.T @ np.concatenate([[b0], b, [0.0]]))
+            res = ey - q_vec
+            nv = self.fold_S[k][0, 0]
+            out.append((k, int(round(nv)), float(max(res @ self.fold_S[k] @ res, 0.0) / nv), [float(x) for x in a]))
+        return out
+
     # row-level predictions ----------------------------------------------------
     def prediction_expr(self, tf: Transform, b0: float, b: np.ndarray) -> Column:
         """The fitted model as one column expression over the raw columns."""

@@ -37,7 +37,8 @@ ENETCV_L1 = [0.1, 0.5, 0.9]
 
 def folded(spark, sf):
     df = fr.model_frame(spark, sf).withColumn("y", F.log("sale_price"))
-    return assign_inner_folds(assign_folds(df, K, fr.SEED), 3, fr.SEED)
+    df = assign_inner_folds(assign_folds(df, K, fr.SEED), 3, fr.SEED)
+    return assign_inner_folds(df, 5, fr.SEED, col="inner5")
 
 
 # --- folds -------------------------------------------------------------------
@@ -162,9 +163,9 @@ def grid_score_q(spark, sf):
 
 # --- full design --------------------------------------------------------------
 
-def full_cv(spark, sf, inner: bool = False) -> LinearCV:
+def full_cv(spark, sf, inner: bool = False, inner_col: str = "inner", k_inner: int = 3) -> LinearCV:
     return LinearCV(folded(spark, sf), fr.MODEL_NUMERIC, fr.MODEL_CATEGORICAL, "y", "fold", K,
-                    inner_col="inner" if inner else None, k_inner=3)
+                    inner_col=inner_col if inner else None, k_inner=k_inner)
 
 
 def grid_specs():
@@ -231,3 +232,19 @@ def elasticnet_cv_q(spark, sf):
         nv = cv.fold_S[j][0, 0]
         rows.append((j, best.alpha, best.l1_ratio, round(math.sqrt(sse(Gv, b0, b) / nv), 6)))
     return spark.createDataFrame(rows, "fold int, alpha double, l1_ratio double, rmse double")
+
+
+# Stacking bases (the first candidates in result order that the
+# fold statistics can express) and the meta learner's penalty.
+STACK_BASES = [LinearSpec("ridge", 10.0), LinearSpec("lasso", 0.0005), LinearSpec("elasticnet", 0.001, 0.5)]
+STACK_META_ALPHA = 10.0
+
+
+@query("stacking_cv")
+def stacking_cv_q(spark, sf):
+    """Stacking of ridge, lasso and elastic net under a ridge(10) meta model,
+    cross-validated (5 outer × 5 inner folds) from one set of cells."""
+    cv = full_cv(spark, sf, inner=True, inner_col="inner5", k_inner=5)
+    rows = [(k, round(math.sqrt(mse), 6), *[round(x, 6) for x in a])
+            for k, _, mse, a in cv.stack_errors(STACK_BASES, STACK_META_ALPHA)]
+    return spark.createDataFrame(rows, "fold int, rmse double, w_ridge double, w_lasso double, w_elasticnet double")

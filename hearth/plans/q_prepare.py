@@ -168,3 +168,15 @@ def clean_train_test_q(spark, sf):
         F.count(F.lit(1)).cast("bigint").alias("n_rows"),
         F.count_if(F.col("pool_qual") == "None").cast("bigint").alias("n_pool_none"),
         F.count_if(F.col("garage_year") == 0).cast("bigint").alias("n_garage_zero"))
+
+
+# --- synthetic listings ----------------------------------------------------------
+
+from ..sources import synthetic as SY  # noqa: E402
+from ..sources.tables import read_table  # noqa: E402
+
+
+@query("synthetic_listings", SY.make_synthetic_sql("SELECT o_orderkey FROM orders", "o_orderkey", 42))
+def synthetic_listings_q(spark, sf):
+    """The Ames-shaped generator over every order key."""
+    return SY.make_synthetic(read_table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 42)
