@@ -25,6 +25,22 @@ MODEL_NUMERIC = NUMERIC_COLUMNS + ["total_sf", "total_bath", "house_age",
 MODEL_CATEGORICAL = list(CATEGORICAL_COLUMNS)
 
 
+class persisted:
+    """``with persisted(df) as d:`` — keep a frame that several fitting passes
+    read (MEMORY_AND_DISK; lost blocks are recomputed from lineage)."""
+
+    def __init__(self, df: DataFrame):
+        from pyspark.storagelevel import StorageLevel
+        self.df = df.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def __enter__(self) -> DataFrame:
+        return self.df
+
+    def __exit__(self, *exc):
+        self.df.unpersist()
+        return False
+
+
 def listing_frame(spark: SparkSession, sf: str) -> DataFrame:
     return listing(spark, sf)
 

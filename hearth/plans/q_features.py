@@ -190,7 +190,8 @@ def linear_features_q(spark, sf):
     to the held-out split; each row's vector is summarised by its sum and
     sum of squares."""
     tr, te = train_test(spark, sf)
-    model = T.linear_pipeline(NUM, CAT).fit(tr)
+    with fr.persisted(tr) as t:
+        model = T.linear_pipeline(NUM, CAT).fit(t)
     arr = vector_to_array("features")
     return model.transform(te).select(
         "id", F.lit(len(NUM) + len(CAT)).cast("int").alias("n_blocks"),
@@ -202,7 +203,8 @@ def linear_features_q(spark, sf):
 SELECT si.id, round({' + '.join(f'si.{_q(c)}' for c in NUM)} + {_hits_sql()}, 4) AS feat_sum FROM si""")
 def tree_features_q(spark, sf):
     tr, te = train_test(spark, sf)
-    model = T.tree_pipeline(NUM, CAT).fit(tr)
+    with fr.persisted(tr) as t:
+        model = T.tree_pipeline(NUM, CAT).fit(t)
     arr = vector_to_array("features")
     return model.transform(te).select("id", rnd(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x), 4).alias("feat_sum"))
 
@@ -216,7 +218,8 @@ def _ord_sql(c):
 SELECT si.id, round({' + '.join(f'si.{_q(c)}' for c in NUM)} + {' + '.join(_ord_sql(c) for c in CAT)}, 4) AS feat_sum FROM si""")
 def ordinal_features_q(spark, sf):
     tr, te = train_test(spark, sf)
-    model = T.ordinal_pipeline(NUM, CAT).fit(tr)
+    with fr.persisted(tr) as t:
+        model = T.ordinal_pipeline(NUM, CAT).fit(t)
     arr = vector_to_array("features")
     return model.transform(te).select("id", rnd(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x), 4).alias("feat_sum"))
 

@@ -31,11 +31,11 @@ AREA_BIN = 500                            # drift bins
 AREA_BINS = 8
 
 
-def oof_frame(spark, sf):
+def oof_frame(spark, sf, with_cv: bool = False):
     df = folded(spark, sf)
     cv = LinearCV(df, ["area"], [], "y", "fold", K)
-    df = df.withColumn("pred_area", cv.oof_expr(OLS))
-    return E.group_mean_oof(df, "neighborhood", "y")
+    out = E.group_mean_oof(df.withColumn("pred_area", cv.oof_expr(OLS)), "neighborhood", "y")
+    return (out, cv, df) if with_cv else out
 
 
 _OOF_CTES = one_feature_ctes() + [
@@ -204,10 +204,9 @@ def ensemble_metrics_row_q(spark, sf):
 
 def fitted_ensemble(spark, sf):
     """(scored test frame with pred_log, blend weight, oof frame)."""
-    o = oof_frame(spark, sf).cache()
+    o, cv, train = oof_frame(spark, sf, with_cv=True)
+    o = o.cache()
     best_w, _ = E.pick_blend(E.blend_scores(o, "y", "pred_area", "pred_group").collect())
-    train = folded(spark, sf)
-    cv = LinearCV(train, ["area"], [], "y", "fold", K)
     score = fr.model_frame(spark, sf, "test").withColumn("pred_area", cv.full_expr(OLS))
     score = E.group_mean_full(train, score, "neighborhood", "y")
     blend = F.lit(best_w) * F.col("pred_area") + F.lit(1 - best_w) * F.col("pred_group")
