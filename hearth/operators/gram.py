@@ -123,8 +123,9 @@ def _partition_grams(design: Design, keys: list[str], target: str):
                 g = zk.T @ zk
                 acc[key] = acc[key] + g if key in acc else g
         out = []
+        iu = np.triu_indices(d)
         for key, g in acc.items():
-            flat = g.reshape(-1)
+            flat = g[iu]  # symmetric: the upper triangle is enough
             for b in range(0, flat.size, BLOCK):
                 row = {kname: int(kval) for kname, kval in zip(keys, key)}
                 row["block"] = b // BLOCK
@@ -143,14 +144,20 @@ def gram_cells(df: DataFrame, design: Design, keys: list[str], target: str) -> d
     summed = parts.groupBy(*keys, "block").agg(
         Summarizer.sum(array_to_vector("v")).alias("v")).collect()
     d = design.d
+    iu = np.triu_indices(d)
     out: dict = {}
     for r in summed:
         key = tuple(int(r[k]) for k in keys)
-        flat = out.setdefault(key, np.zeros(d * d))
+        flat = out.setdefault(key, np.zeros(len(iu[0])))
         v = r["v"].toArray()
         b = int(r["block"]) * BLOCK
         flat[b:b + len(v)] = v
-    return {k: v.reshape(d, d) for k, v in out.items()}
+    mats = {}
+    for k, flat in out.items():
+        m = np.zeros((d, d))
+        m[iu] = flat
+        mats[k] = m + np.triu(m, 1).T
+    return mats
 
 
 # ---------------------------------------------------------------------------

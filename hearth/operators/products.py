@@ -16,8 +16,8 @@ def drift_psi(df: DataFrame, period: str, value: str, width: float, bins: int,
         F.col(period).alias("period"),
         F.least(F.floor(F.col(value) / width), F.lit(bins - 1)).cast("int").alias("bin"))
     c = b.groupBy("period", "bin").agg(F.count(F.lit(1)).alias("n"))
-    grid = c.select("period").distinct().join(
-        F.broadcast(b.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))), how="cross")
+    grid = c.select("period").distinct().select(
+        "period", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     full = grid.join(c, ["period", "bin"], "left").fillna(0, subset=["n"])
     sh = full.withColumn("s", F.greatest(F.col("n") / F.sum("n").over(Window.partitionBy("period")),
                                          F.lit(floor_share)))

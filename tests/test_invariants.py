@@ -82,8 +82,8 @@ def test_permutation_shortcut_equals_explicit_permutation(spark):
     pdf = df.toPandas()
     n = len(pdf)
     buckets = max(1, math.ceil(n / 50_000))
-    pdf["b"] = [_h(f"{i}:0:42:pb") % buckets for i in pdf.id]
-    pdf["k"] = [_h(f"{i}:0:42:pk") for i in pdf.id]
+    pdf["b"] = [_h(f"{i}:pb42") % buckets for i in pdf.id]
+    pdf["k"] = [_h(f"{i}:pk42:0") for i in pdf.id]
     pdf = pdf.sort_values(["b", "k", "id"]).reset_index(drop=True)
     base_mse = df.select(((F.col("y") - pred) ** 2).alias("e2")).agg(F.avg("e2")).first()[0]
     for feat in ["area", "neighborhood", "overall_qual"]:
