@@ -25,9 +25,12 @@ def main() -> None:
     from hearth.plans.catalog import QUERIES
     from hearth.session import get_session
 
+    from hearth.plans.frames import listing_frame
+
     spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
-    QUERIES["table_shape"](spark, sf_dir).collect()  # warm-up: JVM, file listing
-    times = {}
+    t0 = time.time()
+    listing_frame(spark, sf_dir)  # the listing table is built and written once per run
+    times = {"materialize_listing": round(time.time() - t0, 3)}
     for name in names:
         t0 = time.time()
         df = QUERIES[name](spark, sf_dir)
@@ -35,7 +38,7 @@ def main() -> None:
         times[name] = round(time.time() - t0, 3)
 
     from hearth.plans.q_models import full_cv
-    cv = full_cv(spark, sf_dir)
+    cv = full_cv(spark, sf_dir)  # (outside the timings) data passes of the linear grid
     out = {"metric": "headline_total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
            "queries": times, "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
            "linear_grid_passes": cv.passes, "cpus": int(cpus)}

@@ -142,7 +142,7 @@ class _RFFPipeline(T.Estimator):
         return PipelineModel(stages=[pre, rff, model])
 
 
-def fold_rmse(df: DataFrame, make_pipeline, k: int, fold_col: str = "fold", parallelism: int = 2):
+def fold_rmse(df: DataFrame, make_pipeline, k: int, fold_col: str = "fold", parallelism: int = 5):
     """Per-fold RMSE of a pipeline refitted on the other folds."""
     data = df.persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -159,7 +159,7 @@ def fold_rmse(df: DataFrame, make_pipeline, k: int, fold_col: str = "fold", para
     return out
 
 
-def oof_prediction(df: DataFrame, make_pipeline, k: int, fold_col: str = "fold", parallelism: int = 2,
+def oof_prediction(df: DataFrame, make_pipeline, k: int, fold_col: str = "fold", parallelism: int = 5,
                    key: str = "id") -> DataFrame:
     """Out-of-fold predictions (id, prediction) as a union of fold outputs."""
     def one(j):
