@@ -299,7 +299,7 @@ def _coordinate_descent(C, cy, yvar, n, l1pen, l2pen, max_iter, tol=1e-4, warm=N
     return b
 
 
-def solve(G: np.ndarray, spec: LinearSpec):
+def solve(G: np.ndarray, spec: LinearSpec, warm: np.ndarray | None = None):
     """(intercept, coefficients) in the scikit-learn parameterisation:
     ridge ‖y−Xb‖² + α‖b‖²; lasso/elastic net (1/2n)‖y−Xb‖² + α·l1‖b‖₁ + ½α(1−l1)‖b‖²;
     OLS by the minimum-norm least-squares solution."""
@@ -314,7 +314,8 @@ def solve(G: np.ndarray, spec: LinearSpec):
     else:
         l1 = 1.0 if spec.kind == "lasso" else spec.l1_ratio
         yvar = G[q + 1, q + 1] / n - ybar * ybar
-        b = _coordinate_descent(C, cy, yvar, n, spec.alpha * l1, spec.alpha * (1 - l1), spec.max_iter)
+        b = _coordinate_descent(C, cy, yvar, n, spec.alpha * l1, spec.alpha * (1 - l1), spec.max_iter,
+                                warm=warm)
     return ybar - fbar @ b, b
 
 
@@ -437,6 +438,31 @@ class LinearCV:
             out.append((k, int(round(nv)), float(max(res @ self.fold_S[k] @ res, 0.0) / nv), [float(x) for x in a]))
         return out
 
+    def inner_search(self, specs: list[LinearSpec], outer: int) -> dict:
+        """Mean inner-fold MSE of every spec inside outer fold ``outer``: each
+        inner training Gram is formed once and each (kind, l1) path is solved
+        from the largest α down, warm-started (as a regularisation path is)."""
+        tf = self.transform_for(outer)
+        d = self.design.d
+        cells = {i: sum((S for key, S in self.cells.items() if key[0] != outer and key[1] == i),
+                        np.zeros((d, d))) for i in range(self.k_inner)}
+        tot = sum(cells.values(), np.zeros((d, d)))
+        errs = {s: [] for s in specs}
+        paths: dict = {}
+        for s in specs:
+            paths.setdefault((s.kind, s.l1_ratio), []).append(s)
+        for i in range(self.k_inner):
+            G = tf.A @ (tot - cells[i]) @ tf.A.T
+            Gv = tf.A @ cells[i] @ tf.A.T
+            nv = cells[i][0, 0]
+            for path in paths.values():
+                warm = None
+                for s in sorted(path, key=lambda x: -x.alpha):
+                    b0, b = solve(G, s, warm)
+                    warm = b
+                    errs[s].append(sse(Gv, b0, b) / nv)
+        return {s: float(np.mean(v)) for s, v in errs.items()}
+
     # row-level predictions ----------------------------------------------------
     def prediction_expr(self, tf: Transform, b0: float, b: np.ndarray) -> Column:
         """The fitted model as one column expression over the raw columns."""

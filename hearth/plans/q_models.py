@@ -225,7 +225,8 @@ def elasticnet_cv_q(spark, sf):
     specs = [LinearSpec("elasticnet", a, l) for a in ENETCV_ALPHAS for l in ENETCV_L1]
     rows = []
     for j in range(K):
-        best = min(specs, key=lambda s: cv.inner_errors(s, j))
+        scores = cv.inner_search(specs, j)
+        best = min(specs, key=lambda s: (scores[s], specs.index(s)))
         tf, b0, b = cv.fit(best, j)
         from ..operators.gram import sse
         Gv = tf.A @ cv.fold_S[j] @ tf.A.T
