@@ -130,3 +130,48 @@ def tree_attribution_q(spark, sf):
     long = X.explode_factors(x, "factors", F.col("price"), keep=("id", "price", "base_value"))
     return long.select("id", F.round("price", 2).alias("predicted_price"), "rank", "feature", "value",
                        "impact_log", "impact_eur", "direction")
+
+
+# Display names of the families in the comparison table.
+FAMILY_NAMES = {"rf_fit": "RandomForest", "gbt_target_encoded": "GBT_TargetEncoded",
+                "gbt_ordinal": "GBT_Ordinal", "gbt_categorical": "GBT_Categorical",
+                "rff_ridge": "KernelRidge_RFF", "rff_huber": "Huber_RFF", "stacking_cv": "StackingRegressor"}
+
+
+@query("model_comparison_all")
+def model_comparison_all_q(spark, sf):
+    """Every family scored on the same folds: mean / population std of fold
+    RMSE (grid-searched linear models: root of the mean fold MSE, std NaN),
+    ascending with non-finite scores last, best parameters as JSON."""
+    import json
+
+    from pyspark.sql import Window
+
+    from .catalog import QUERIES
+    from .q_models import grid_specs, grid_table
+    parts = []
+    for key, name in FAMILY_NAMES.items():
+        parts.append(QUERIES[key](spark, sf).select(F.lit(name).alias("model"), "fold", "rmse"))
+    folds = parts[0]
+    for p in parts[1:]:
+        folds = folds.unionByName(p)
+    finite = ~F.isnan("rmse") & (F.abs("rmse") < float("inf"))
+    fam = folds.filter(finite).groupBy("model").agg(F.avg("rmse").alias("cv_rmsle_mean"),
+                                                    F.stddev_pop("rmse").alias("cv_rmsle_std")) \
+        .withColumn("best_params", F.lit("{}"))
+    cv = full_cv(spark, sf)
+    best = {}
+    for name, params, score, is_best in grid_table(cv, grid_specs()):
+        if is_best and name != "LinearRegression":
+            best[name] = (score, params)
+    from .q_models import cv_summary
+    ols_mu, ols_sd = cv_summary([m for _, _, m in cv.fold_errors(LinearSpec("ols"))])
+    rows = [(n, float(sc), float("nan"), p) for n, (sc, p) in best.items()]
+    rows.append(("LinearRegression", ols_mu, ols_sd, json.dumps({})))
+    lin = spark.createDataFrame(rows, "model string, cv_rmsle_mean double, cv_rmsle_std double, best_params string")
+    allm = fam.unionByName(lin)
+    key = F.when(~F.isnan("cv_rmsle_mean") & (F.abs("cv_rmsle_mean") < float("inf")), F.col("cv_rmsle_mean")) \
+        .otherwise(F.lit(float("inf")))
+    return allm.select("model", F.round("cv_rmsle_mean", 6).alias("cv_rmsle_mean"),
+                       F.round("cv_rmsle_std", 6).alias("cv_rmsle_std"), "best_params",
+                       F.row_number().over(Window.orderBy(key, "model")).cast("int").alias("rank"))
