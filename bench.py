@@ -27,7 +27,10 @@ def main() -> None:
 
     from hearth.plans.frames import listing_frame
 
-    spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):  # stage/task times without the UI
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]}
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2, extra=extra)
     t0 = time.time()
     listing_frame(spark, sf_dir)  # the listing table is built and written once per run
     times = {"materialize_listing": round(time.time() - t0, 3)}

@@ -20,12 +20,12 @@ DEFAULT_CONF = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
-                app: str = "hearth") -> SparkSession:
+                app: str = "hearth", extra: dict | None = None) -> SparkSession:
     """Session for tests and the bench; on a cluster use the provided session."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    for k, v in DEFAULT_CONF.items():
+    for k, v in {**DEFAULT_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
