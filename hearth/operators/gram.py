@@ -68,26 +68,42 @@ class Design:
 def fold_statistics(df: DataFrame, numeric, categorical, fold_col: str | None, k: int,
                     approx: bool = False):
     """Medians per training set (-1 = all rows, j = all rows but fold j),
-    plus centres and sorted levels over all rows — one job."""
+    plus centres and sorted levels over all rows — one job. Rows are unpivoted
+    to (training set, column, value) so the exact-median merges are spread
+    over (training set × column) groups rather than k + 1 tasks."""
     if fold_col:
         sets = F.array(F.lit(-1), *[F.when(F.col(fold_col) != j, F.lit(j)) for j in range(k)])
-        fan = df.select(F.explode(sets).alias("train_of"), *numeric, *categorical) \
-            .filter(F.col("train_of").isNotNull())
     else:
-        fan = df.select(F.lit(-1).alias("train_of"), *numeric, *categorical)
-    med = (lambda c: F.percentile_approx(F.col(c).cast("double"), 0.5, 100000)) if approx \
-        else (lambda c: F.median(F.col(c).cast("double")))
+        sets = F.array(F.lit(-1))
+    num = [F.struct(F.lit(c).alias("col"), F.col(c).cast("double").alias("x"),
+                    F.lit(None).cast("string").alias("s")) for c in numeric]
+    cat = [F.struct(F.lit(c).alias("col"), F.lit(None).cast("double").alias("x"),
+                    F.col(c).cast("string").alias("s")) for c in categorical]
+    long = df.select(F.explode(sets).alias("train_of"), F.explode(F.array(*num, *cat)).alias("v")) \
+        .filter(F.col("train_of").isNotNull()) \
+        .select("train_of", "v.col", "v.x", F.when(F.col("train_of") == -1, F.col("v.s")).alias("s"))
+    med = F.percentile_approx("x", 0.5, 100000) if approx else F.median("x")
     every = F.col("train_of") == -1
-    aggs = [med(c).alias(f"med__{c}") for c in numeric]
-    aggs += [F.avg(F.when(every, F.col(c).cast("double"))).alias(f"avg__{c}") for c in numeric]
-    aggs += [F.array_sort(F.collect_set(F.when(every, F.col(c)))).alias(f"lv__{c}") for c in categorical]
-    rows = fan.groupBy("train_of").agg(*aggs).collect()  # k + 1 rows
-    medians, centers, levels = {}, {}, {}
+    rows = long.groupBy("train_of", "col").agg(
+        med.alias("med"), F.avg(F.when(every, F.col("x"))).alias("avg"),
+        F.array_sort(F.collect_set("s")).alias("lv")).collect()  # (k + 1) × columns rows
+    medians: dict = {}
+    centers, levels = {}, {}
     for r in rows:
-        medians[int(r["train_of"])] = {c: r[f"med__{c}"] for c in numeric}
-        if r["train_of"] == -1:
-            centers = {c: float(r[f"avg__{c}"] or 0.0) for c in numeric}
-            levels = {c: list(r[f"lv__{c}"]) for c in categorical}
+        t, c = int(r["train_of"]), r["col"]
+        if c in numeric:
+            medians.setdefault(t, {})[c] = r["med"]
+            if t == -1:
+                centers[c] = float(r["avg"] or 0.0)
+        elif t == -1:
+            levels[c] = list(r["lv"])
+    for t in medians:
+        for c in numeric:
+            medians[t].setdefault(c, None)
+    for c in categorical:
+        levels.setdefault(c, [])
+    for c in numeric:
+        centers.setdefault(c, 0.0)
     return medians, Design(list(numeric), list(categorical), centers, levels)
 
 

@@ -56,7 +56,15 @@ def listing_frame(spark: SparkSession, sf: str) -> DataFrame:
     path = _WRITTEN.get(key)
     if path is None:
         path = scratch_path(spark, "listing-table")
-        listing(spark, sf).write.mode("overwrite").partitionBy("split").parquet(path)
+        df = listing(spark, sf)
+        # files of ~128 MB and at least one per core, hash-partitioned by id;
+        # one listing row per order, so the orders scan's size (file-based,
+        # exact) sizes the output (join estimates can be wildly high)
+        from ..sources.tables import read_table
+        orders = read_table(spark, sf, "orders")
+        est = 2 * int(str(orders._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        n = min(max(spark.sparkContext.defaultParallelism, -(-est // (128 << 20))), 100_000)
+        df.repartition(n, "id").write.mode("overwrite").partitionBy("split").parquet(path)
         _WRITTEN[key] = path
     return spark.read.parquet(path).select(*LISTING_COLUMNS)
 
