@@ -28,7 +28,7 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -68,13 +68,57 @@ class Design:
 def fold_statistics(df: DataFrame, numeric, categorical, fold_col: str | None, k: int,
                     approx: bool = False):
     """Medians per training set (-1 = all rows, j = all rows but fold j),
-    plus centres and sorted levels over all rows — one job. Rows are unpivoted
-    to (training set, column, value) so the exact-median merges are spread
-    over (training set × column) groups rather than k + 1 tasks."""
-    if fold_col:
-        sets = F.array(F.lit(-1), *[F.when(F.col(fold_col) != j, F.lit(j)) for j in range(k)])
-    else:
-        sets = F.array(F.lit(-1))
+    plus centres and sorted levels over all rows — one pass over the rows.
+
+    Exact path: rows are unpivoted once and counted per (fold, column, value)
+    with map-side partial aggregation; only that distinct-value table is fanned
+    out to the k + 1 training sets, and each median (interpolated on even
+    counts) is read off cumulative counts. Memory follows the distinct values,
+    which is bounded for the integer-valued listing columns; ``approx=True``
+    uses the bounded quantile sketch for continuous columns."""
+    if approx:
+        return _fold_statistics_approx(df, numeric, categorical, fold_col, k)
+    fold = F.col(fold_col).cast("int") if fold_col else F.lit(0)
+    items = [F.struct(F.lit(c).alias("col"), F.col(c).cast("double").alias("x"),
+                      F.lit(None).cast("string").alias("s")) for c in numeric]
+    items += [F.struct(F.lit(c).alias("col"), F.lit(None).cast("double").alias("x"),
+                       F.col(c).cast("string").alias("s")) for c in categorical]
+    long = df.select(fold.alias("fold"), F.explode(F.array(*items)).alias("v")) \
+        .select("fold", "v.col", "v.x", "v.s").filter(F.col("x").isNotNull() | F.col("s").isNotNull())
+    cnt = long.groupBy("fold", "col", "x", "s").agg(F.count(F.lit(1)).alias("n")).persist()
+    try:
+        sets = F.array(F.lit(-1), *[F.when(F.col("fold") != j, F.lit(j)) for j in range(k)]) if fold_col \
+            else F.array(F.lit(-1))
+        per = cnt.filter(F.col("x").isNotNull()).select(F.explode(sets).alias("t"), "col", "x", "n") \
+            .filter(F.col("t").isNotNull()).groupBy("t", "col", "x").agg(F.sum("n").alias("n"))
+        w = Window.partitionBy("t", "col").orderBy("x")
+        per = per.withColumn("cum", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0))) \
+            .withColumn("tot", F.sum("n").over(Window.partitionBy("t", "col")))
+        p1, p2 = F.floor((F.col("tot") + 1) / 2), F.floor(F.col("tot") / 2) + 1
+        stats = per.groupBy("t", "col").agg(
+            ((F.min(F.when(F.col("cum") >= p1, F.col("x"))) + F.min(F.when(F.col("cum") >= p2, F.col("x")))) / 2)
+            .alias("med"), (F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("avg")).collect()
+        lv = cnt.filter(F.col("s").isNotNull()).groupBy("col").agg(
+            F.array_sort(F.collect_set("s")).alias("lv")).collect()
+    finally:
+        cnt.unpersist()
+    medians: dict = {t: {c: None for c in numeric} for t in [-1, *(range(k) if fold_col else [])]}
+    centers = {c: 0.0 for c in numeric}
+    for r in stats:
+        medians[int(r["t"])][r["col"]] = r["med"]
+        if r["t"] == -1:
+            centers[r["col"]] = float(r["avg"])
+    levels = {c: [] for c in categorical}
+    for r in lv:
+        levels[r["col"]] = list(r["lv"])
+    return medians, Design(list(numeric), list(categorical), centers, levels)
+
+
+def _fold_statistics_approx(df: DataFrame, numeric, categorical, fold_col: str | None, k: int):
+    """Sketch-based variant: rows fan out to the training sets they belong to
+    and ``percentile_approx`` keeps a bounded buffer per (set, column)."""
+    sets = F.array(F.lit(-1), *[F.when(F.col(fold_col) != j, F.lit(j)) for j in range(k)]) if fold_col \
+        else F.array(F.lit(-1))
     num = [F.struct(F.lit(c).alias("col"), F.col(c).cast("double").alias("x"),
                     F.lit(None).cast("string").alias("s")) for c in numeric]
     cat = [F.struct(F.lit(c).alias("col"), F.lit(None).cast("double").alias("x"),
@@ -82,28 +126,20 @@ def fold_statistics(df: DataFrame, numeric, categorical, fold_col: str | None, k
     long = df.select(F.explode(sets).alias("train_of"), F.explode(F.array(*num, *cat)).alias("v")) \
         .filter(F.col("train_of").isNotNull()) \
         .select("train_of", "v.col", "v.x", F.when(F.col("train_of") == -1, F.col("v.s")).alias("s"))
-    med = F.percentile_approx("x", 0.5, 100000) if approx else F.median("x")
     every = F.col("train_of") == -1
     rows = long.groupBy("train_of", "col").agg(
-        med.alias("med"), F.avg(F.when(every, F.col("x"))).alias("avg"),
-        F.array_sort(F.collect_set("s")).alias("lv")).collect()  # (k + 1) × columns rows
-    medians: dict = {}
-    centers, levels = {}, {}
+        F.percentile_approx("x", 0.5, 100000).alias("med"), F.avg(F.when(every, F.col("x"))).alias("avg"),
+        F.array_sort(F.collect_set("s")).alias("lv")).collect()
+    medians: dict = {t: {c: None for c in numeric} for t in [-1, *(range(k) if fold_col else [])]}
+    centers, levels = {c: 0.0 for c in numeric}, {c: [] for c in categorical}
     for r in rows:
         t, c = int(r["train_of"]), r["col"]
         if c in numeric:
-            medians.setdefault(t, {})[c] = r["med"]
+            medians[t][c] = r["med"]
             if t == -1:
                 centers[c] = float(r["avg"] or 0.0)
         elif t == -1:
             levels[c] = list(r["lv"])
-    for t in medians:
-        for c in numeric:
-            medians[t].setdefault(c, None)
-    for c in categorical:
-        levels.setdefault(c, [])
-    for c in numeric:
-        centers.setdefault(c, 0.0)
     return medians, Design(list(numeric), list(categorical), centers, levels)
 
 

@@ -99,3 +99,14 @@ def test_ols_minimum_norm_with_collinear_columns():
     b0, b = solve(z.T @ z, LinearSpec("ols"))
     assert b[0] == pytest.approx(b[1])
     assert b.sum() == pytest.approx(np.linalg.lstsq(a[:, None] - a.mean(), y - y.mean(), rcond=None)[0][0])
+
+
+def test_approx_statistics_close_to_exact(data):
+    from hearth.operators.gram import fold_statistics
+    df, cv, _ = data
+    med, design = fold_statistics(df, NUM, CAT, "fold", 5, approx=True)
+    assert design.levels == cv.design.levels
+    for t in cv.medians:
+        for c in NUM:
+            ex, ap = cv.medians[t][c], med[t][c]
+            assert ap == pytest.approx(ex, rel=0.05, abs=1.0)
