@@ -23,7 +23,6 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def _walk(node, path, leaves, cover_root):

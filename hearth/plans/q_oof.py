@@ -8,8 +8,6 @@ one-feature regression on area fitted on the other folds ("area", linear).
 
 from __future__ import annotations
 
-import json
-import math
 
 from pyspark.sql import functions as F
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import clean as C
-from ..operators.features import derive_features
 from . import frames as fr
 from .catalog import query
 from .frames import with_base

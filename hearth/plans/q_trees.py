@@ -8,7 +8,6 @@ parameters.
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import functions as F
 
