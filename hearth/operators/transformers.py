@@ -49,6 +49,24 @@ class MedianImputerModel(_StateModel):
                                for c, m in self.medians.items()})
 
 
+def exact_medians(df: DataFrame, cols) -> dict:
+    """Exact (interpolated) medians of many columns in one job: values are
+    counted per (column, value) with partial aggregation, and each column's
+    median is read off cumulative counts in its own window partition."""
+    items = [F.struct(F.lit(c).alias("col"), F.col(c).cast("double").alias("x")) for c in cols]
+    cnt = df.select(F.explode(F.array(*items)).alias("v")).select("v.col", "v.x") \
+        .filter(F.col("x").isNotNull()).groupBy("col", "x").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("col").orderBy("x")
+    cnt = cnt.withColumn("cum", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0))) \
+        .withColumn("tot", F.sum("n").over(Window.partitionBy("col")))
+    p1, p2 = F.floor((F.col("tot") + 1) / 2), F.floor(F.col("tot") / 2) + 1
+    rows = cnt.groupBy("col").agg(((F.min(F.when(F.col("cum") >= p1, F.col("x")))
+                                    + F.min(F.when(F.col("cum") >= p2, F.col("x")))) / 2).alias("m")).collect()
+    out = {c: None for c in cols}
+    out.update({r["col"]: float(r["m"]) for r in rows})
+    return out
+
+
 class MedianImputer(Estimator):
     """Null → median of the training column (interpolated on even counts).
     ``approx=True`` uses the bounded-memory quantile sketch for huge data."""
@@ -60,10 +78,9 @@ class MedianImputer(Estimator):
     def _fit(self, df: DataFrame) -> MedianImputerModel:
         if self.approx:
             aggs = [F.percentile_approx(F.col(c).cast("double"), 0.5, self.accuracy).alias(c) for c in self.cols]
-        else:
-            aggs = [F.median(F.col(c).cast("double")).alias(c) for c in self.cols]
-        row = df.agg(*aggs).first()
-        return MedianImputerModel(medians={c: float(row[c]) if row[c] is not None else None for c in self.cols})
+            row = df.agg(*aggs).first()
+            return MedianImputerModel(medians={c: float(row[c]) if row[c] is not None else None for c in self.cols})
+        return MedianImputerModel(medians=exact_medians(df, self.cols))
 
 
 class ModeImputerModel(_StateModel):
