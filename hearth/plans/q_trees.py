@@ -82,19 +82,25 @@ def two_model_ensemble(spark, sf):
     """Elastic net (fold statistics) + categorical GBT: out-of-fold predictions
     of both, pooled scores, blend weight by grid search, then both refitted on
     every training row. Returns a dict of the fitted parts and scores."""
-    df = folded(spark, sf).cache()
-    cv = full_cv(spark, sf)
-    spec = LinearSpec("elasticnet", 0.001, 0.5)
-    make_tree = lambda: TR.gbt_categorical_pipeline(NUM, CAT, max_iter=20, depth=4)
-    lin = df.withColumn("lin", cv.oof_expr(spec)).select("id", "y", "lin")
-    tree = TR.oof_prediction(df, make_tree, K).withColumnRenamed("prediction", "tree")
-    both = lin.join(tree, "id").cache()
-    best_w, best = pick_blend(blend_scores(both, "y", "lin", "tree").collect())
-    r = both.agg(F.sqrt(F.avg((F.col("y") - F.col("lin")) ** 2)).alias("l"),
-                 F.sqrt(F.avg((F.col("y") - F.col("tree")) ** 2)).alias("t")).first()
-    return {"w": best_w, "cv_blend": best, "cv_lin": r["l"], "cv_tree": r["t"],
-            "lin_expr": cv.full_expr(spec), "tree_model": make_tree().fit(df),
-            "n_linear_features": len(cv.transform_for(None).names)}
+    df = folded(spark, sf).persist()
+    try:
+        cv = full_cv(spark, sf)
+        spec = LinearSpec("elasticnet", 0.001, 0.5)
+        make_tree = lambda: TR.gbt_categorical_pipeline(NUM, CAT, max_iter=20, depth=4)
+        lin = df.withColumn("lin", cv.oof_expr(spec)).select("id", "y", "lin")
+        tree = TR.oof_prediction(df, make_tree, K).withColumnRenamed("prediction", "tree")
+        both = lin.join(tree, "id").persist()
+        try:
+            best_w, best = pick_blend(blend_scores(both, "y", "lin", "tree").collect())
+            r = both.agg(F.sqrt(F.avg((F.col("y") - F.col("lin")) ** 2)).alias("l"),
+                         F.sqrt(F.avg((F.col("y") - F.col("tree")) ** 2)).alias("t")).first()
+        finally:
+            both.unpersist()
+        return {"w": best_w, "cv_blend": best, "cv_lin": r["l"], "cv_tree": r["t"],
+                "lin_expr": cv.full_expr(spec), "tree_model": make_tree().fit(df),
+                "n_linear_features": len(cv.transform_for(None).names)}
+    finally:
+        df.unpersist()
 
 
 @query("ensemble_fit")
