@@ -39,21 +39,36 @@ def gbt(max_iter=20, step=0.1, depth=3, seed=42, max_bins=64) -> GBTRegressor:
                         maxDepth=depth, seed=seed, maxBins=max_bins, checkpointInterval=10)
 
 
-class _TargetEncodeStage(T.Estimator):
-    """Target encoder as a pipeline stage (encodes the categoricals in place)."""
+class TargetEncodedGBT(T.Estimator):
+    """GBT on target-encoded categories with the encoder's train/score split:
+    training rows are encoded *cross-fitted* (statistics of the other internal
+    folds, so a row never sees its own target), the fitted model carries the
+    encoder fitted on all training rows for scoring. Returns a PipelineModel."""
 
-    def __init__(self, cols, target):
+    def __init__(self, num, cat, k: int = 5, seed: int = 42, key: str = "id", **gbt_kw):
         super().__init__()
-        self.cols, self.target = list(cols), target
+        self.num, self.cat, self.k, self.seed, self.key, self.gbt_kw = list(num), list(cat), k, seed, key, gbt_kw
 
     def _fit(self, df):
-        return T.TargetEncoder(self.cols, self.target)._fit(df)
-
+        from pyspark.ml import PipelineModel
 
-def gbt_target_encoded_pipeline(num, cat, **kw) -> Pipeline:
-    te = _TargetEncodeStage(cat, "y")
-    asm = VectorAssembler(inputCols=list(num) + [c + "_te" for c in cat], outputCol="features")
-    return Pipeline(stages=[T.MedianImputer(num), T.ModeImputer(cat), te, asm, gbt(**kw)])
+        from .folds import fold_col
+        imp = T.MedianImputer(self.num).fit(df)
+        mode = T.ModeImputer(self.cat).fit(df)
+        x = mode.transform(imp.transform(df)).withColumn("__te_fold", fold_col(self.key, self.k, self.seed, "te"))
+        stats = T.target_encoding_stats(x, self.cat, "y", "__te_fold")
+        for c in self.cat:
+            s = stats.filter(F.col("column") == c).select(F.col("level").alias(c), "__te_fold",
+                                                           F.col("enc").alias(c + "_te"))
+            x = x.join(s, [c, "__te_fold"], "left")
+        asm = VectorAssembler(inputCols=self.num + [c + "_te" for c in self.cat], outputCol="features")
+        model = gbt(**self.gbt_kw).fit(asm.transform(x))
+        full = T.TargetEncoder(self.cat, "y").fit(x)
+        return PipelineModel(stages=[imp, mode, full, asm, model])
+
+
+def gbt_target_encoded_pipeline(num, cat, **kw):
+    return TargetEncodedGBT(num, cat, **kw)
 
 
 def gbt_ordinal_pipeline(num, cat, leaves=31, **kw) -> Pipeline:
