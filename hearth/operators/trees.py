@@ -56,14 +56,21 @@ class TargetEncodedGBT(T.Estimator):
         imp = T.MedianImputer(self.num).fit(df)
         mode = T.ModeImputer(self.cat).fit(df)
         x = mode.transform(imp.transform(df)).withColumn("__te_fold", fold_col(self.key, self.k, self.seed, "te"))
-        stats = T.target_encoding_stats(x, self.cat, "y", "__te_fold")
-        for c in self.cat:
-            s = stats.filter(F.col("column") == c).select(F.col("level").alias(c), "__te_fold",
-                                                           F.col("enc").alias(c + "_te"))
-            x = x.join(s, [c, "__te_fold"], "left")
-        asm = VectorAssembler(inputCols=self.num + [c + "_te" for c in self.cat], outputCol="features")
-        model = gbt(**self.gbt_kw).fit(asm.transform(x))
-        full = T.TargetEncoder(self.cat, "y").fit(x)
+        # (column, level, fold) statistics: levels × k rows, computed once and
+        # joined per column (the planner broadcasts them by their measured size)
+        stats = T.target_encoding_stats(x, self.cat, "y", "__te_fold").persist()
+        try:
+            for c in self.cat:
+                s = stats.filter(F.col("column") == c).select(F.col("level").alias(c), "__te_fold",
+                                                               F.col("enc").alias(c + "_te"))
+                x = x.join(s, [c, "__te_fold"], "left")
+            asm = VectorAssembler(inputCols=self.num + [c + "_te" for c in self.cat], outputCol="features")
+            x = x.persist(StorageLevel.MEMORY_AND_DISK)
+            model = gbt(**self.gbt_kw).fit(asm.transform(x))
+            full = T.TargetEncoder(self.cat, "y").fit(x)
+            x.unpersist()
+        finally:
+            stats.unpersist()
         return PipelineModel(stages=[imp, mode, full, asm, model])
 
 
