@@ -171,7 +171,7 @@ def blend_search_q(spark, sf):
               covar_pop(pred_group, y) * count(*) AS sgy FROM oof),
 sol AS (SELECT *, ((sgg + 10) * say - sag * sgy) / ((saa + 10) * (sgg + 10) - sag * sag) AS wa,
                ((saa + 10) * sgy - sag * say) / ((saa + 10) * (sgg + 10) - sag * sag) AS wg FROM cs)
-SELECT round(my - wa * ma - wg * mg, 6) AS intercept, round(wa, 6) AS w_area, round(wg, 6) AS w_group FROM sol""".replace("\n, cs AS", ", cs AS", 0))
+SELECT round(my - wa * ma - wg * mg, 6) AS intercept, round(wa, 6) AS w_area, round(wg, 6) AS w_group FROM sol""")
 def stacking_q(spark, sf):
     """Meta ridge (α = 10) on the out-of-fold base predictions."""
     b0, (wa, wg) = E.ridge_meta(oof_frame(spark, sf), "y", ["pred_area", "pred_group"], 10.0)
@@ -336,7 +336,7 @@ def error_audit_q(spark, sf):
 , res AS (SELECT round((y - ((SELECT w FROM best) * pred_area + (1 - (SELECT w FROM best)) * pred_group)) / {RESID_GRID}) AS r FROM oof),
 qs AS (SELECT quantile_cont(r, {BAND_Q[0]}) * {RESID_GRID} AS qlo, quantile_cont(r, {BAND_Q[1]}) * {RESID_GRID} AS qhi FROM res)
 SELECT id, round(exp(pred_log), 4) AS price, round(exp(pred_log + qlo), 4) AS price_lo,
-       round(exp(pred_log + qhi), 4) AS price_hi FROM scored, qs""".replace("\n, res AS", ", res AS", 0))
+       round(exp(pred_log + qhi), 4) AS price_hi FROM scored, qs""")
 def confidence_band_q(spark, sf):
     """Band from the 5 % / 95 % quantiles of out-of-fold log residuals.
     Residuals are counted on a 1e-6 grid, so the exact quantile keeps a
@@ -359,7 +359,7 @@ periods AS (SELECT DISTINCT period FROM c), bins AS (SELECT * FROM range({AREA_B
 full_ AS (SELECT p.period, bins.bin, coalesce(c.n, 0) AS n FROM periods p CROSS JOIN bins LEFT JOIN c ON c.period = p.period AND c.bin = bins.bin),
 sh AS (SELECT period, bin, greatest(n / sum(n) OVER (PARTITION BY period), 1e-4) AS s FROM full_),
 ref AS (SELECT bin, s AS s0 FROM sh WHERE period = (SELECT min(period) FROM sh))
-SELECT period, round(sum((s - s0) * ln(s / s0)), 6) AS psi FROM sh JOIN ref USING (bin) GROUP BY period""".replace("\n, b AS", ", b AS", 0))
+SELECT period, round(sum((s - s0) * ln(s / s0)), 6) AS psi FROM sh JOIN ref USING (bin) GROUP BY period""")
 def drift_psi_q(spark, sf):
     """Population stability of the area distribution per sale year against the
     first year: shares per fixed-width bin (floored at 1e-4), PSI = Σ (s−s0)·ln(s/s0)."""

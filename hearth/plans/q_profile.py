@@ -92,7 +92,7 @@ rng AS (SELECT kind, min(x) AS lo, max(x) AS hi FROM vals GROUP BY kind)
 SELECT v.kind, CAST(CASE WHEN (hi - lo) / 30 > 0 THEN least(floor((x - lo) / ((hi - lo) / 30)), 29) ELSE 0 END AS INTEGER) AS bin,
        CAST(count(*) AS BIGINT) AS n,
        round(min(lo) + CAST(CASE WHEN (hi - lo) / 30 > 0 THEN least(floor((x - lo) / ((hi - lo) / 30)), 29) ELSE 0 END AS INTEGER) * min((hi - lo) / 30), 6) AS bin_lo
-FROM vals v JOIN rng r ON v.kind = r.kind GROUP BY 1, 2""".replace("\n, vals", "vals", 0).replace("\n, vals AS", ", vals AS"))
+FROM vals v JOIN rng r ON v.kind = r.kind GROUP BY 1, 2""")
 def target_histogram_q(spark, sf):
     return P.target_histogram(fr.model_frame(spark, sf), "sale_price", 30)
 
