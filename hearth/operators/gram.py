@@ -97,9 +97,9 @@ def fold_statistics(df: DataFrame, numeric, categorical, fold_col: str | None, k
         p1, p2 = F.floor((F.col("tot") + 1) / 2), F.floor(F.col("tot") / 2) + 1
         stats = per.groupBy("t", "col").agg(
             ((F.min(F.when(F.col("cum") >= p1, F.col("x"))) + F.min(F.when(F.col("cum") >= p2, F.col("x")))) / 2)
-            .alias("med"), (F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("avg")).collect()
+            .alias("med"), (F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("avg")).collect()  # (k+1)·p rows
         lv = cnt.filter(F.col("s").isNotNull()).groupBy("col").agg(
-            F.array_sort(F.collect_set("s")).alias("lv")).collect()
+            F.array_sort(F.collect_set("s")).alias("lv")).collect()  # one row per categorical column
     finally:
         cnt.unpersist()
     medians: dict = {t: {c: None for c in numeric} for t in [-1, *(range(k) if fold_col else [])]}
@@ -194,7 +194,7 @@ def gram_cells(df: DataFrame, design: Design, keys: list[str], target: str) -> d
     cols = [*keys, *design.numeric, *design.categorical, target]
     parts = df.select(*[F.col(c) for c in cols]).mapInPandas(_partition_grams(design, keys, target), schema)
     summed = parts.groupBy(*keys, "block").agg(
-        Summarizer.sum(array_to_vector("v")).alias("v")).collect()
+        Summarizer.sum(array_to_vector("v")).alias("v")).collect()  # cells × blocks rows
     d = design.d
     iu = np.triu_indices(d)
     out: dict = {}

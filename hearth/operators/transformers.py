@@ -61,7 +61,7 @@ def exact_medians(df: DataFrame, cols) -> dict:
         .withColumn("tot", F.sum("n").over(Window.partitionBy("col")))
     p1, p2 = F.floor((F.col("tot") + 1) / 2), F.floor(F.col("tot") / 2) + 1
     rows = cnt.groupBy("col").agg(((F.min(F.when(F.col("cum") >= p1, F.col("x")))
-                                    + F.min(F.when(F.col("cum") >= p2, F.col("x")))) / 2).alias("m")).collect()
+                                    + F.min(F.when(F.col("cum") >= p2, F.col("x")))) / 2).alias("m")).collect()  # per column
     out = {c: None for c in cols}
     out.update({r["col"]: float(r["m"]) for r in rows})
     return out
