@@ -70,3 +70,19 @@ def test_non_finite_scores():
     assert set(w) == {"a", "c"} and sum(w.values()) == pytest.approx(1.0)
     assert pick_blend([{"w": 0.0, "rmse": 1.0}, {"w": 0.05, "rmse": 1.0}]) == (0.0, 1.0)
     assert math.isfinite(pick_blend([])[0])
+
+
+def test_salted_top_k_equals_plain_window_with_a_hot_group(spark):
+    """A group holding a third of the rows gets the same top-k as a plain window."""
+    from pyspark.sql import Window
+
+    from hearth.operators.ensemble import top_k_per_group
+    df = spark.range(3000).select(F.col("id"), F.when(F.col("id") % 3 == 0, F.lit("hot"))
+                                  .otherwise((F.col("id") % 7).cast("string")).alias("g"),
+                                  ((F.col("id") * 7919) % 1009).cast("double").alias("v"))
+    order = [F.desc("v"), F.asc("id")]
+    got = {(r.g, r.id, r.rank) for r in top_k_per_group(df, "g", order, 5).collect()}
+    w = Window.partitionBy("g").orderBy(*order)
+    want = {(r.g, r.id, r.rank) for r in df.withColumn("rank", F.row_number().over(w))
+            .filter(F.col("rank") <= 5).collect()}
+    assert got == want
