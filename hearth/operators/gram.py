@@ -432,6 +432,26 @@ class LinearCV:
             out.append((j, nv, sse(Gv, b0, b) / nv if nv else float("nan")))
         return out
 
+    def grid_errors(self, specs: list[LinearSpec]) -> dict:
+        """fold_errors for many specs: each fold's Grams are formed once and each
+        (kind, l1) path is solved from the largest α down, warm-started."""
+        out = {s: [] for s in specs}
+        paths: dict = {}
+        for s in specs:
+            paths.setdefault((s.kind, s.l1_ratio), []).append(s)
+        for j in range(self.k):
+            tf = self.transform_for(j)
+            G = tf.A @ self.train_S(j) @ tf.A.T
+            Gv = tf.A @ self.fold_S[j] @ tf.A.T
+            nv = int(round(self.fold_S[j][0, 0]))
+            for path in paths.values():
+                warm = None
+                for s in sorted(path, key=lambda x: -x.alpha):
+                    b0, b = solve(G, s, warm)
+                    warm = b if len(b) else None
+                    out[s].append((j, nv, sse(Gv, b0, b) / nv if nv else float("nan")))
+        return out
+
     # inner (nested) folds ---------------------------------------------------
     def inner_errors(self, spec: LinearSpec, outer: int) -> float:
         """Mean inner-fold MSE inside the training part of ``outer``; the

@@ -179,8 +179,9 @@ def grid_specs():
 def grid_table(cv: LinearCV, specs):
     """(model, params, cv_rmse = sqrt(mean fold MSE)) for each spec; best per model."""
     rows = []
+    all_errs = cv.grid_errors(specs)
     for s in specs:
-        errs = [m for _, _, m in cv.fold_errors(s)]
+        errs = [m for _, _, m in all_errs[s]]
         rows.append((s.name, json.dumps(s.params()), math.sqrt(sum(errs) / len(errs))))
     best = {}
     for name, params, score in rows:
