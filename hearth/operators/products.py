@@ -25,3 +25,12 @@ def drift_psi(df: DataFrame, period: str, value: str, width: float, bins: int,
     ref = sh.filter(F.col("period") == first).select("bin", F.col("s").alias("s0"))
     return sh.join(F.broadcast(ref), "bin").groupBy("period").agg(
         rnd(F.sum((F.col("s") - F.col("s0")) * F.log(F.col("s") / F.col("s0"))), 6).alias("psi"))
+
+
+def append_prediction_log(rows: DataFrame, path: str, with_time: bool = False) -> DataFrame:
+    """Append audit rows (model version, input hash, blend weight, feature
+    count[, UTC generation time]) to the prediction-log table at ``path``."""
+    out = rows.withColumn("generated_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")) \
+        if with_time else rows
+    out.write.mode("append").parquet(path)
+    return rows.sparkSession.read.parquet(path)

@@ -53,9 +53,12 @@ def audit_rows_q(spark, sf):
     from .q_oof import oof_frame
     o = oof_frame(spark, sf)
     w, _ = pick_blend(blend_scores(o, "y", "pred_area", "pred_group").collect())
+    from ..operators.products import append_prediction_log
+    from ..session import scratch_path
     te = fr.listing_frame(spark, sf).filter("split = 'test'")
-    return te.select("id", F.lit(__version__).alias("version"), input_hash_col().alias("input_hash"),
+    rows = te.select("id", F.lit(__version__).alias("version"), input_hash_col().alias("input_hash"),
                      X.fmt_fixed(F.lit(w), 4).alias("blend_weight"), F.lit(2).cast("int").alias("n_features"))
+    return append_prediction_log(rows, scratch_path(spark, "prediction-log"))
 
 
 # --- codebook --------------------------------------------------------------------

@@ -46,3 +46,12 @@ def test_codebook_parse(spark):
     assert got[("pool_qual", "NA")] == "No Pool"
     assert ("pool_qual", "Po") not in got
     assert {f for f, _ in got} == {"kitchen_qual", "exter_qual", "pool_qual", "central_air", "sale_type", "segment"}
+
+
+def test_prediction_log_appends(spark):
+    from hearth.operators.products import append_prediction_log
+    path = tempfile.mkdtemp(prefix="hearth-log-") + "/log"
+    rows = spark.createDataFrame([(1, "0.1.0", "abcd")], "id long, version string, input_hash string")
+    append_prediction_log(rows, path, with_time=True)
+    log = append_prediction_log(rows, path, with_time=True).collect()
+    assert len(log) == 2 and all(r.generated_at and r.generated_at.endswith("Z") for r in log)
