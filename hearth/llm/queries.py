@@ -6,7 +6,7 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearth.llm import host_rules, minhash, mixing, packing, secrets
+from hearth.llm import balltree, host_rules, minhash, mixing, packing, secrets
 from hearth.llm.common import table
 
 #: Folder of the public tokenizer files (a parameter: the files are never copied).
@@ -27,6 +27,11 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op4_ball_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = balltree.written(balltree.integer_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding"), "ball-vectors")
+    return balltree.top_k(vectors, vectors.filter("id % 50 = 0"), k=5)
+
+
 def op5_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
