@@ -6,7 +6,7 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearth.llm import balltree, host_rules, minhash, mixing, packing, secrets
+from hearth.llm import balltree, host_rules, html_extract, minhash, mixing, packing, secrets
 from hearth.llm.common import table
 
 #: Folder of the public tokenizer files (a parameter: the files are never copied).
@@ -23,6 +23,10 @@ def tokenizer_path(folder: str = TOKENIZERS, name: str = TOKENIZER_FILE) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
