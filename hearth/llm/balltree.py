@@ -91,8 +91,11 @@ def _products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     if top < 2.0 ** 53:
         return (q @ x.T).astype(np.int64)
     exact = np.array([[int(c) for c in r] for r in q], object) @ np.array([[int(c) for c in r] for r in x], object).T
-    bound = 2 ** 63 - 1
-    return np.clip(exact, -bound, bound).astype(np.int64)
+    return np.clip(exact, NO_SCORE + 1, 2 ** 63 - 1).astype(np.int64)
+
+
+#: Stand-ins for an absent candidate.
+NO_SCORE, NO_ID = -(2 ** 63 - 1), 2 ** 63 - 1
 
 
 class Best:
@@ -100,8 +103,8 @@ class Best:
 
     def __init__(self, n: int, k: int):
         self.k = k
-        self.score = np.full((n, k), np.iinfo(np.int64).min)
-        self.id = np.full((n, k), np.iinfo(np.int64).max)
+        self.score = np.full((n, k), NO_SCORE)
+        self.id = np.full((n, k), NO_ID)
 
     def bar(self) -> np.ndarray:
         return self.score[:, -1]
@@ -127,7 +130,6 @@ def search(tree: dict, q: np.ndarray, qid: np.ndarray, best: Best) -> int:
     d = max(x.shape[1], q.shape[1])  # a shorter vector ends in zeros
     q, x, centre = (np.pad(m, ((0, 0), (0, d - m.shape[1]))) for m in (q, x, centre))
     norm = np.sqrt((q ** 2).sum(1))
-    none, far = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 
     def bound(node: int, rows: np.ndarray) -> np.ndarray:
         b = q[rows] @ centre[node] + norm[rows] * radius[node]
@@ -149,7 +151,7 @@ def search(tree: dict, q: np.ndarray, qid: np.ndarray, best: Best) -> int:
             score = _products(q[rows], x[a:z])
             who = np.broadcast_to(ids[a:z], score.shape)
             own = who == qid[rows][:, None]
-            best.offer(rows, np.where(own, none, score), np.where(own, far, who))
+            best.offer(rows, np.where(own, NO_SCORE, score), np.where(own, NO_ID, who))
             continue
         for child in (node + 1, int(right[node])):
             b = bound(child, rows)
@@ -190,7 +192,7 @@ def build_index(vectors: DataFrame, shard_rows: int = SHARD_ROWS, leaf_rows: int
     """(shard, tree): one ball tree per shard of about ``shard_rows`` rows of (id, v)."""
     shards = max(1, -(-vectors.count() // shard_rows))
 
-    def build(key: tuple, pdf):
+    def build(key, pdf):
         import pandas as pd
         pdf = pdf.sort_values("id", kind="stable")
         x = _matrix(list(pdf["v"]))
@@ -216,7 +218,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int =
     shards = (index.agg(F.max("shard")).first()[0] or 0) + 1
     blocks_n = max(1, -(-queries.count() // block_queries))
 
-    def block(key: tuple, pdf):
+    def block(key, pdf):
         import pandas as pd
         pdf = pdf.sort_values("id", kind="stable")
         return pd.DataFrame({"block": [key[0]], "queries": [_pack({"q": _narrow(_matrix(list(pdf["v"]))), "ids": pdf["id"].to_numpy(np.int64)})]})
@@ -243,7 +245,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int =
                     best = Best(len(q["ids"]), k)
                     if r["bars"] is not None:  # a bar from another shard: its holders come back in the final choice
                         known = dict(r["bars"]) if not isinstance(r["bars"], dict) else r["bars"]
-                        bar = np.array([known.get(x, np.iinfo(np.int64).min) for x in q["ids"].tolist()])
+                        bar = np.array([known.get(x, NO_SCORE) for x in q["ids"].tolist()])
                         best.score[:] = bar[:, None]
                 search(_unpack(r["tree"]), q["q"], q["ids"], best)
         if unit is not None:
@@ -270,7 +272,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int =
     found = first.union(units(rest.join(bars, "block", "left"), blocks_n * runs))
     best = found.select("query_id", F.explode(F.arrays_zip("scores", "ids")).alias("e")).select(
         "query_id", F.col("e.scores").alias("score"), F.col("e.ids").alias("vec_id")).filter(
-        F.col("vec_id") != np.iinfo(np.int64).max)
+        F.col("vec_id") != NO_ID)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
