@@ -83,8 +83,11 @@ def training_sample(docs: DataFrame, n_docs: int = SAMPLE_DOCS, n_random: int =
         d, F.substring(d, 1, 40), F.regexp_replace(F.base64(raw), "=", ""),
         F.translate(F.regexp_replace(F.base64(raw), "=", ""), "+/", "-_"),
         F.upper(F.regexp_replace(F.base64(raw), "[^A-Za-z0-9]", "")))).alias("string")).select(F.lit(1).alias("label"), "string")
-    few = (docs.select(F.col("text").cast("string").alias("text")).filter("text is not null")
-           .orderBy(F.xxhash64("text"), "text").limit(n_docs))
+    text = docs.select(F.col("text").cast("string").alias("text")).filter("text is not null")
+    hashed = text.withColumn("h", F.xxhash64("text"))
+    # n_docs numbers go to the driver; copies of a text have one number
+    least = [r["h"] for r in hashed.select("h").distinct().orderBy("h").limit(n_docs).collect()]
+    few = hashed.filter(F.col("h").isin(least)).dropDuplicates(["h"]).select("text")
     w = few.select(F.explode(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("w"))
     w = w.filter(F.col("w").rlike("^[A-Za-z][A-Za-z.,-]*$")).select(F.regexp_replace("w", "[.,]", "").alias("w"))
     lo = F.lower("w")
