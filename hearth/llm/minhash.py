@@ -72,12 +72,18 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def word_hashes(text: str | None, lower: bool = False) -> np.ndarray:
+    """64-bit hashes of the words of a text, in order."""
+    raw = (text or "").encode("utf-8", "surrogatepass")
+    found = (raw.lower() if lower else raw).split()  # on bytes: A-Z and ASCII white space only
+    return np.fromiter(map(_WORDS.__getitem__, found), np.uint64, len(found))
+
+
 def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word shingles; fewer words: the whole sequence as one."""
-    found = (text or "").encode("utf-8", "surrogatepass").lower().split()  # on bytes: A-Z and ASCII space only
-    if not found:
+    w = word_hashes(text, lower=True)
+    if not len(w):
         return np.empty(0, np.uint64)
-    w = np.fromiter(map(_WORDS.__getitem__, found), np.uint64, len(found))
     n = min(size, len(w))
     h = np.full(len(w) - n + 1, n, np.uint64)
     for k in range(n):
@@ -234,12 +240,16 @@ def links(classes: DataFrame, docs: DataFrame, percent: int = PERCENT, size: int
     keys = F.array(*[F.xxhash64(F.lit(b), F.expr(f"substring(sig, {4 * (SLOTS // BANDS) * b + 1}, {4 * (SLOTS // BANDS)})"))
                      for b in range(BANDS)])
     rows = classes.select("cid", "n", F.explode(keys).alias("key"))
-    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("cid", "n")).alias("lo"),
-                                     F.max(F.struct("cid", "n")).alias("hi")).filter("size > 1")
-    buckets = written(rows.join(shared, "key"), "near-buckets")
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    buckets = written(rows.join(sizes, "key"), "near-buckets")
+    # the text that copies were made from meets more of them than they meet each other: the most met class is a centre
+    met = buckets.groupBy("cid").agg(F.sum("size").alias("met"))
+    centres = buckets.join(met, "cid").groupBy("key").agg(
+        F.min(F.struct("cid", "n")).alias("lo"), F.max(F.struct("met", "cid", "n")).alias("hi"))
+    starred = buckets.join(centres, "key")
 
     def star(c: str) -> DataFrame:
-        return buckets.filter(F.col("cid") != F.col(f"{c}.cid")).filter(
+        return starred.filter(F.col("cid") != F.col(f"{c}.cid")).filter(
             100 * F.least("n", f"{c}.n") >= percent * F.greatest("n", f"{c}.n")).select(
             F.least("cid", f"{c}.cid").alias("a"), F.greatest("cid", f"{c}.cid").alias("b"))
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hearth.llm import balltree, host_rules, html_extract, minhash, mixing, packing, secrets
+from hearth.llm import (balltree, cotrain, host_rules, html_extract, license_scan, minhash, mixing, packing, secrets,
+                        suffix_dedup)
 from hearth.llm.common import table
 
 #: Folder of the public tokenizer files (a parameter: the files are never copied).
@@ -27,6 +29,12 @@ def op1_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as a tree of files: source/lang/doc_id."""
+    docs = table(spark, sf_dir, "documents")
+    return license_scan.scan(docs.select("doc_id", F.concat_ws("/", "source", "lang", "doc_id").alias("path"), "text"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
@@ -41,6 +49,10 @@ def op5_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -54,6 +66,10 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotrain.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in vars(sys.modules[__name__]).copy().values()
            if callable(f) and getattr(f, "__name__", "").startswith("op")}
 
