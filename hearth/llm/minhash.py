@@ -8,12 +8,14 @@
    slot keeps the least rank it has seen.  Once every slot is below the next level,
    no later level can change anything and the draw stops early.
 3. Banding: classes that agree on all rows of a band share a bucket.  Members are
-   compared with the bucket's centre (a star, never all pairs); links found there are
-   merged by union-find.  What still lies in different components of a bucket is then
-   compared block against block on the signatures, in numpy, and only pairs that look
-   alike leave the task.
-4. Every pair that looks alike is verified on the full sets.  The verified links are
-   merged by union-find on tables (large-star / small-star).
+   compared with two centres of the bucket (stars, never all pairs), first on the
+   signatures, then on the full sets; the links are merged by union-find on tables
+   (large-star / small-star).
+4. What still lies in different components of a bucket is compared block against
+   block inside tasks.  On the signatures, this gives clusters of classes that look
+   alike (a forest per block, fewer rows than members); the full sets of each cluster
+   are then held against each other in the same way, and the links found are merged
+   with the others.
 
 A pair at the threshold shares at least one of 32 bands of 4 rows with probability
 1 - (1 - 0.75^4)^32 = 0.999995; pairs above it more surely.  A pair is left out before
@@ -167,13 +169,7 @@ def _alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
     """Of (a, b), the pairs whose full sets overlap by ``percent`` of their union."""
-    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-                  .join(classes.select("cid", "rep"), "cid").select(F.col("rep").alias("doc_id")).distinct(), "near-ids")
-    if ids.count() <= BROADCAST_IDS:  # else both sides are shuffled on the id
-        ids = F.broadcast(ids)
-    # (a doc_id that stands for several texts gives a set too many, which no pair names)
-    sets = _sets(docs.join(ids, "doc_id", "left_semi"), size).groupBy("cid").agg(F.first("items").alias("items"))
-    sets = written(sets, "near-sets")
+    sets = _class_sets(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), classes, docs, size)
     p = (pairs.join(sets.select(F.col("cid").alias("a"), F.col("items").alias("ia")), "a")
          .join(sets.select(F.col("cid").alias("b"), F.col("items").alias("ib")), "b"))
     both = F.size(F.array_intersect("ia", "ib"))
@@ -181,58 +177,87 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: in
         100 * F.col("both") >= percent * (F.col("sum") - F.col("both"))).select("a", "b")
 
 
-def _near_size(percent: int, a: str = "na", b: str = "nb"):
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def _chunked(members: DataFrame, group: str, fields: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Blocks of about ``BLOCK`` members of each group as arrays, and pairs (x, y) of blocks of one group.
 
-
-def _blocks(members: DataFrame, percent: int) -> DataFrame:
-    """Alike pairs (a, b) of different labels inside each bucket, block against block.
-
-    members: key, size (of the bucket), cid, n, label, sig.  A block holds about
-    ``BLOCK`` members, and only pairs that look alike leave the task.
+    members: group, size (of the group), cid and ``fields``.
     """
     chunks = F.ceil(F.col("size") / BLOCK).cast("long")
-    blocks = members.withColumn("chunk", F.pmod(F.xxhash64("cid", "key"), chunks)).groupBy("key", "chunk").agg(
-        F.first("size").alias("size"), F.collect_list("cid").alias("cid"), F.collect_list("n").alias("n"),
-        F.collect_list("label").alias("label"), F.collect_list("sig").alias("sig"))
+    blocks = members.withColumn("chunk", F.pmod(F.xxhash64("cid", group), chunks)).groupBy(group, "chunk").agg(
+        F.first("size").alias("size"), *[F.collect_list(f).alias(f) for f in fields])
+    large = blocks.filter(F.col("size") > BLOCK)
+    x = large.select(group, F.col("chunk").alias("cx"), F.struct(*fields).alias("x"))
+    y = large.select(group, F.col("chunk").alias("cy"), F.struct(*fields).alias("y"))
+    return blocks.select(F.struct(*fields).alias("x")), x.join(y, group).filter("cx < cy").select("x", "y")
 
-    def found(x: dict, y: dict, own: bool) -> list[tuple[int, int]]:
-        sx, sy = (np.frombuffer(b"".join(z["sig"]), "<u4").reshape(len(z["cid"]), -1) for z in (x, y))
-        nx, ny, lx, ly = (np.array(z[c]) for c in ("n", "label") for z in (x, y))
-        cx, cy = np.array(x["cid"]), np.array(y["cid"])
-        out = []
-        for i in range(len(cx)):
-            fit = (ly != lx[i]) & (100 * np.minimum(ny, nx[i]) >= percent * np.maximum(ny, nx[i]))
-            if own:
-                fit[:i + 1] = False
-            at = np.flatnonzero(fit)
-            at = at[(sy[at] == sx[i]).sum(1) >= SLOT_FLOOR]
-            out += [(min(cx[i], c), max(cx[i], c)) for c in cy[at].tolist()]
-        return out
-
-    def batch_of(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
-        a, b = zip(*pairs) if pairs else ((), ())
-        return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                x = batch.slice(i, 1).to_pylist()[0]
-                yield batch_of(found(x, x, True))
+def _forest(members: DataFrame, group: str, fields: list[str], near) -> DataFrame:
+    """Links (a, b) that connect what ``near`` calls near inside each group, at most one fewer than members.
 
-    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    ``near(x, y)`` yields for every member of block x the mask of near members of block y.
+    """
+    def links_of(x: dict, y: dict, own: bool) -> pa.RecordBatch:
+        cid = np.array(x["cid"] if own else x["cid"] + y["cid"], np.int64)
+        first = 0 if own else len(x["cid"])  # y's members start here
+        tree = np.arange(len(cid))
+        a, b = [], []
+        for i, mask in enumerate(near(x, y)):
+            at = np.flatnonzero(mask) + first
+            at = at[tree[at] != tree[i]]
+            trees, one = np.unique(tree[at], return_index=True)
+            a += [int(cid[i])] * len(one)
+            b += cid[at[one]].tolist()
+            tree[np.isin(tree, trees)] = tree[i]
+        return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 r = batch.slice(i, 1).to_pylist()[0]
-                yield batch_of(found(r["x"], r["y"], False))
+                yield links_of(r["x"], r.get("y", r["x"]), "y" not in r)
 
-    fields = ["cid", "n", "label", "sig"]
-    within = blocks.select(*fields).mapInArrow(inside, "a long, b long")
-    large = blocks.filter(F.col("size") > BLOCK)
-    x = large.select("key", F.col("chunk").alias("cx"), F.struct(*fields).alias("x"))
-    y = large.select("key", F.col("chunk").alias("cy"), F.struct(*fields).alias("y"))
-    between = x.join(y, "key").filter("cx < cy").select("x", "y").mapInArrow(across, "a long, b long")
-    return within.union(between).distinct()
+    inside, across = _chunked(members, group, fields)
+    return inside.mapInArrow(run, "a long, b long").union(across.mapInArrow(run, "a long, b long"))
+
+
+def _alike_in_blocks(percent: int):
+    """Members of other labels whose sizes and signatures allow a link."""
+    def near(x: dict, y: dict) -> Iterator[np.ndarray]:
+        sx, sy = (np.frombuffer(b"".join(z["sig"]), "<u4").reshape(len(z["cid"]), -1) for z in (x, y))
+        n, label = np.array(y["n"]), np.array(y["label"])
+        for i in range(len(sx)):
+            mask = (label != x["label"][i]) & (100 * np.minimum(n, x["n"][i]) >= percent * np.maximum(n, x["n"][i]))
+            at = np.flatnonzero(mask)
+            mask[at] = (sy[at] == sx[i]).sum(1) >= SLOT_FLOOR
+            yield mask
+    return near
+
+
+def _linked_in_blocks(percent: int):
+    """Members of other labels whose full sets overlap by ``percent`` of their union."""
+    def near(x: dict, y: dict) -> Iterator[np.ndarray]:
+        n, label = np.array([len(s) for s in y["items"]]), np.array(y["label"])
+        items = np.concatenate([np.array(s, np.int64) for s in y["items"]])
+        owner = np.repeat(np.arange(len(n)), n)
+        order = np.argsort(items, kind="stable")
+        items, owner = items[order], owner[order]
+        for i, s in enumerate(x["items"]):
+            s = np.array(s, np.int64)
+            lo, hi = np.searchsorted(items, s), np.searchsorted(items, s, side="right")
+            reps = hi - lo
+            hits = np.repeat(lo - np.cumsum(reps) + reps, reps) + np.arange(reps.sum())
+            both = np.bincount(owner[hits], minlength=len(n))
+            yield (label != x["label"][i]) & (100 * both >= percent * (n + len(s) - both))
+    return near
+
+
+def _class_sets(ids: DataFrame, classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """(cid, items) of the classes named in ids (cid)."""
+    reps = written(ids.join(classes.select("cid", "rep"), "cid").select(F.col("rep").alias("doc_id")).distinct(), "near-ids")
+    if reps.count() <= BROADCAST_IDS:  # else both sides are shuffled on the id
+        reps = F.broadcast(reps)
+    # (a doc_id that stands for several texts gives a set too many, which no link names)
+    return written(_sets(docs.join(reps, "doc_id", "left_semi"), size).groupBy("cid").agg(F.first("items").alias("items")), "near-sets")
 
 
 def links(classes: DataFrame, docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
@@ -262,8 +287,13 @@ def links(classes: DataFrame, docs: DataFrame, percent: int = PERCENT, size: int
     labelled = written(labelled, "near-labels")
     mixed = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("key")
     rest = labelled.join(mixed, "key", "left_semi").join(classes.select("cid", "sig"), "cid")
-    more = written(_blocks(rest, percent).join(first, ["a", "b"], "left_anti"), "near-more")
-    return found.union(_verified(more, classes, docs, percent, size))
+    # clusters of classes that look alike: forests, not pairs; then the full sets of each cluster, block against block
+    forest = written(_forest(rest, "key", ["cid", "n", "label", "sig"], _alike_in_blocks(percent)).distinct(), "near-forest")
+    clusters = written(components(forest).withColumnRenamed("node", "cid").withColumnRenamed("root", "cluster"), "near-clusters")
+    sized = clusters.join(clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")), "cluster")
+    members = sized.join(labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("label", F.coalesce("root", "cid")).drop("root")
+    members = members.join(_class_sets(clusters.select("cid"), classes, docs, size), "cid")
+    return found.union(_forest(members, "cluster", ["cid", "label", "items"], _linked_in_blocks(percent)))
 
 
 def groups(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
