@@ -63,7 +63,9 @@ def expm1_target(x) -> Column:
 def coerce_numeric(x) -> Column:
     """``pd.to_numeric(errors='coerce')``: text that is not a number → null.
     ANSI mode is on in Spark 4, so a plain cast would raise."""
-    return F.trim(_c(x).cast("string")).try_cast("double")
+    t = F.trim(_c(x).cast("string"))
+    # a cast would take Java's type suffixes ('1d', '2f') for numbers
+    return F.when(~t.rlike(r"(?i)^[+-]?[0-9.]+(e[+-]?[0-9]+)?[df]$"), t.try_cast("double"))
 
 
 def safe_name(x) -> Column:

@@ -31,16 +31,19 @@ def group_mean_oof(df: DataFrame, group: str, target: str, fold_col: str = "fold
                                   (F.sum("gn").over(wg) - F.col("gn"))).alias("gmean"))
     stats = cell.join(glob, fold_col).select(
         group, fold_col, F.coalesce(F.when(F.col("n") > 0, F.col("s") / F.col("n")), F.col("gmean")).alias("__gm"))
-    # every row's own (group, fold) cell exists, so the left join always hits
-    return df.join(stats, [group, fold_col], "left").withColumnRenamed("__gm", "pred_group")
+    # every row's own (group, fold) cell exists; a null group is a group like any other
+    stats = stats.withColumnsRenamed({group: "__g", fold_col: "__f"})
+    own = df[group].eqNullSafe(F.col("__g")) & (df[fold_col] == F.col("__f"))
+    return df.join(stats, own, "left").drop("__g", "__f").withColumnRenamed("__gm", "pred_group")
 
 
 def group_mean_full(train: DataFrame, score: DataFrame, group: str, target: str) -> DataFrame:
     """Group mean over all training rows, overall mean for unseen groups."""
     gm = train.groupBy(group).agg(F.avg(target).alias("__gm"))
     overall = train.agg(F.avg(target)).first()[0]
-    return score.join(gm, group, "left").withColumn(
-        "pred_group", F.coalesce(F.col("__gm"), F.lit(overall))).drop("__gm")
+    gm = gm.withColumnRenamed(group, "__g")
+    return score.join(gm, score[group].eqNullSafe(F.col("__g")), "left").withColumn(
+        "pred_group", F.coalesce(F.col("__gm"), F.lit(overall))).drop("__gm", "__g")
 
 
 def rmse_col(y: str, p) -> Column:
@@ -63,11 +66,9 @@ def blend_scores(df: DataFrame, y: str, a: str, b: str, grid=BLEND_GRID) -> Data
 
 def pick_blend(scores_rows) -> tuple[float, float]:
     """Smallest grid weight with the strictly lowest score; default 0.5."""
-    best_w, best = 0.5, float("inf")
-    for r in sorted(scores_rows, key=lambda r: r["w"]):
-        if r["rmse"] < best:
-            best, best_w = r["rmse"], float(r["w"])
-    return best_w, best
+    finite = [(r["rmse"], float(r["w"])) for r in scores_rows if r["rmse"] is not None and math.isfinite(r["rmse"])]
+    rmse, w = min(finite, default=(float("inf"), 0.5))
+    return w, rmse
 
 
 def inverse_error_weights(scores: dict[str, float], top: int = 3) -> dict[str, float]:
@@ -97,14 +98,8 @@ def ridge_meta(df: DataFrame, y: str, bases: list[str], alpha: float = 10.0):
     return float(b0), [float(x) for x in w]
 
 
-def top_k_per_group(df: DataFrame, group: str, order: list[Column], k: int, salts: int = 16,
-                    key: str = "id") -> DataFrame:
-    """Exact top-k rows per group without sorting a hot group in one task:
-    rank inside (group, salt) first, keep k per salt, then rank the ≤ k·salts
-    survivors per group."""
-    salted = df.withColumn("__salt", F.pmod(F.xxhash64(F.col(key)), F.lit(salts)))
-    w1 = Window.partitionBy(group, "__salt").orderBy(*order)
-    cand = salted.withColumn("__r", F.row_number().over(w1)).filter(F.col("__r") <= k)
-    w2 = Window.partitionBy(group).orderBy(*order)
-    return cand.withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= k) \
-        .drop("__salt", "__r")
+def top_k_per_group(df: DataFrame, group: str, order: list[Column], k: int) -> DataFrame:
+    """Exact top-k rows per group. The planner puts a group limit below the
+    exchange, so each task sends at most k rows of a group."""
+    w = Window.partitionBy(group).orderBy(*order)
+    return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

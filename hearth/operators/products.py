@@ -14,7 +14,8 @@ def drift_psi(df: DataFrame, period: str, value: str, width: float, bins: int,
     Counts are one grouped aggregate; the (period × bin) grid is tiny."""
     b = df.filter(F.col(value).isNotNull()).select(
         F.col(period).alias("period"),
-        F.least(F.floor(F.col(value) / width), F.lit(bins - 1)).cast("int").alias("bin"))
+        # the outer bins are open: values below 0 count in the first
+        F.greatest(F.least(F.floor(F.col(value) / width), F.lit(bins - 1)), F.lit(0)).cast("int").alias("bin"))
     c = b.groupBy("period", "bin").agg(F.count(F.lit(1)).alias("n"))
     grid = c.select("period").distinct().select(
         "period", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))

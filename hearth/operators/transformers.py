@@ -19,8 +19,6 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BROADCAST_ROW_LIMIT = 1_000_000
-
 
 class _StateModel(Model, DefaultParamsReadable, DefaultParamsWritable):
     """Fitted values kept as one JSON param, so the model saves and loads with
@@ -128,6 +126,8 @@ class PopulationScaler(Estimator):
         row = df.agg(*aggs).first()
         stats = {}
         for c in self.cols:
+            if row[f"{c}__m"] is None:  # no value to scale by: the column stays null
+                continue
             sd = row[f"{c}__s"]
             stats[c] = (float(row[f"{c}__m"]), float(sd) if sd else 1.0)
         return PopulationScalerModel(stats=stats)

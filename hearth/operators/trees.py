@@ -164,21 +164,12 @@ class _RFFPipeline(T.Estimator):
         return PipelineModel(stages=[pre, rff, model])
 
 
-def fold_parallelism(spark, k: int) -> int:
-    """Folds fitted at once: up to k, about one per 2 GB of driver heap (in
-    local mode the driver JVM also hosts the executors' tree aggregation)."""
-    conf = spark.conf.get("spark.driver.memory", "1g").strip().lower()
-    units = {"k": 1 / 1024 ** 2, "m": 1 / 1024, "g": 1.0, "t": 1024.0}
-    try:
-        gb = float(conf[:-1]) * units[conf[-1]] if conf[-1] in units else float(conf) / 1024 ** 3
-    except ValueError:
-        gb = 1.0
-    return max(1, min(k, int(gb // 2)))
+#: Folds fitted at once.
+FOLD_PARALLELISM = 4
 
 
-def fold_rmse(df: DataFrame, make_pipeline, k: int, fold_col: str = "fold", parallelism: int | None = None):
+def fold_rmse(df: DataFrame, make_pipeline, k: int, fold_col: str = "fold", parallelism: int = FOLD_PARALLELISM):
     """Per-fold RMSE of a pipeline refitted on the other folds."""
-    parallelism = parallelism or fold_parallelism(df.sparkSession, k)
     data = df.persist(StorageLevel.MEMORY_AND_DISK)
 
     def one(j):
@@ -194,10 +185,9 @@ def fold_rmse(df: DataFrame, make_pipeline, k: int, fold_col: str = "fold", para
     return out
 
 
-def oof_prediction(df: DataFrame, make_pipeline, k: int, fold_col: str = "fold", parallelism: int | None = None,
+def oof_prediction(df: DataFrame, make_pipeline, k: int, fold_col: str = "fold", parallelism: int = FOLD_PARALLELISM,
                    key: str = "id") -> DataFrame:
     """Out-of-fold predictions (id, prediction) as a union of fold outputs."""
-    parallelism = parallelism or fold_parallelism(df.sparkSession, k)
     def one(j):
         model = make_pipeline().fit(df.filter(F.col(fold_col) != j))
         return model.transform(df.filter(F.col(fold_col) == j)).select(key, "prediction")

@@ -57,17 +57,8 @@ def listing_frame(spark: SparkSession, sf: str) -> DataFrame:
     if path is None:
         path = scratch_path(spark, "listing-table")
         df = listing(spark, sf)
-        # one listing row per order: the orders scan (file-based size, exact)
-        # sizes the output. Many input files already give a wide, id-keyed join
-        # output, which is written as is; few files (small data) would give a
-        # handful of tasks for every later scan, so the rows are spread by id
-        # into files of ~128 MB and at least one per core.
-        from ..sources.tables import read_table
-        orders = read_table(spark, sf, "orders")
-        cores = spark.sparkContext.defaultParallelism
-        if len(orders.inputFiles()) < cores:
-            est = 2 * int(str(orders._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-            df = df.repartition(min(max(cores, -(-est // (128 << 20))), 100_000), "id")
+        # one file per shuffle partition and split, spread by id, whatever the input's files
+        df = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")
         df.write.mode("overwrite").partitionBy("split").parquet(path)
         _WRITTEN[key] = path
     return spark.read.parquet(path).select(*LISTING_COLUMNS)

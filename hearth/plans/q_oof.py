@@ -24,7 +24,6 @@ OLS = LinearSpec("ols")
 VERDICT_TOLERANCE = 0.10
 PRICE_BANDS = [250000, 350000, 450000]   # segment edges of the error audit
 BAND_Q = (0.05, 0.95)                    # confidence band quantiles
-RESID_GRID = 1e-6                         # residual quantisation for exact quantiles
 AREA_BIN = 500                            # drift bins
 AREA_BINS = 8
 
@@ -333,19 +332,16 @@ def error_audit_q(spark, sf):
 
 
 @query("confidence_band", OB(_BLEND, _FULL) + f"""
-, res AS (SELECT round((y - ((SELECT w FROM best) * pred_area + (1 - (SELECT w FROM best)) * pred_group)) / {RESID_GRID}) AS r FROM oof),
-qs AS (SELECT quantile_cont(r, {BAND_Q[0]}) * {RESID_GRID} AS qlo, quantile_cont(r, {BAND_Q[1]}) * {RESID_GRID} AS qhi FROM res)
+, res AS (SELECT y - ((SELECT w FROM best) * pred_area + (1 - (SELECT w FROM best)) * pred_group) AS r FROM oof),
+qs AS (SELECT quantile_cont(r, {BAND_Q[0]}) AS qlo, quantile_cont(r, {BAND_Q[1]}) AS qhi FROM res)
 SELECT id, round(exp(pred_log), 4) AS price, round(exp(pred_log + qlo), 4) AS price_lo,
        round(exp(pred_log + qhi), 4) AS price_hi FROM scored, qs""")
 def confidence_band_q(spark, sf):
-    """Band from the 5 % / 95 % quantiles of out-of-fold log residuals.
-    Residuals are counted on a 1e-6 grid, so the exact quantile keeps a
-    bounded count map whatever the row count."""
+    """Band from the exact 5 % / 95 % quantiles of out-of-fold log residuals."""
+    from ..operators.quantiles import exact_quantiles
     s, best_w, o = fitted_ensemble(spark, sf)
     p = F.lit(best_w) * F.col("pred_area") + F.lit(1 - best_w) * F.col("pred_group")
-    r = F.round((F.col("y") - p) / RESID_GRID)
-    q = o.agg(F.percentile(r, F.lit(BAND_Q[0])).alias("qlo"), F.percentile(r, F.lit(BAND_Q[1])).alias("qhi")).first()
-    lo, hi = q["qlo"] * RESID_GRID, q["qhi"] * RESID_GRID
+    lo, hi = exact_quantiles(o, F.col("y") - p, BAND_Q)
     return s.select("id", rnd(F.exp("pred_log"), 4).alias("price"),
                     rnd(F.exp(F.col("pred_log") + F.lit(lo)), 4).alias("price_lo"),
                     rnd(F.exp(F.col("pred_log") + F.lit(hi)), 4).alias("price_hi"))

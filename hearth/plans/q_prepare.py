@@ -51,7 +51,9 @@ def scan_listings_q(spark, sf):
     lst = fr.listing_frame(spark, sf)
     base = scratch_path(spark, "listing-csv")
     S.write_csv(lst.filter("split = 'train'").drop("split"), base + "/train")
-    S.write_csv(lst.filter("split = 'test'").drop("split"), base + "/test")
+    test = lst.filter("split = 'test'")
+    # the test file has its columns in another order
+    S.write_csv(test.select(*reversed([c for c in test.columns if c != "split"])), base + "/test")
     schema = S.listing_schema()
     schema = type(schema)([f for f in schema.fields if f.name != "split"])
     return S.read_listings_csv(spark, base + "/train", base + "/test", schema).select(*LISTING_COLUMNS)

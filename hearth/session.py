@@ -34,16 +34,23 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Driver and executors in one process."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting is always used; only when it is unset (local tests)
-    do we pick a folder of our own.
+    The cluster's setting is always used; only when it is unset on a local
+    master (tests, one machine) do we pick a folder of our own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not is_local(spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = os.path.join("/tmp", "hearth-checkpoints")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -56,7 +56,8 @@ segment: Market segment of the buyer
 """
 
 HEADER_RE = r"^(\S+):\s*(.*)$"
-CODE_RE = r"^\s+(\S+)\t(.*)$"
+# a code may hold blanks or end in one
+CODE_RE = r"^\s+([^\t]+)\t(.*)$"
 
 
 def codebook_text_frame(spark: SparkSession, text: str = LISTING_CODEBOOK) -> DataFrame:
