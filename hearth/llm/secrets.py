@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from hearth.llm.common import WORD, let
 
-#: Fixed rules: kind, pattern, group that is measured, its least length.  (?i:..) is ASCII only.
+#: Fixed rules: kind, pattern, group that is measured, its least length.  Either case means ASCII letters.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"

@@ -73,7 +73,7 @@ def test_differencing_deletes_shared_furniture(spark):
 def rule_spans(t):
     out = []
     for k, (kind, p, group, least) in enumerate(secrets.RULES):
-        out += [(m.start(), k, m.end(), kind) for m in re.finditer(p, t or "") if len(m[group]) >= least]
+        out += [(m.start(), k, m.end(), kind) for m in re.finditer(p, t or "", re.ASCII) if len(m[group]) >= least]
     return [f"{kind}:{a}:{b}" for a, _, b, kind in sorted(out)]
 
 
