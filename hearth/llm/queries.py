@@ -86,9 +86,10 @@ src AS (
 -- sources by the level at which they are full; the level that the others share if all before them are full
 filled AS (
   SELECT *, 3.0 * s / w AS full_at,
-         (sum(s) OVER () - coalesce(sum(3.0 * s) OVER o, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER o, 0)) AS level
+         (sum(s) OVER () - coalesce(sum(3.0 * s) OVER o, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER o, 0)) AS level,
+         row_number() OVER (ORDER BY 3.0 * s / w, source) AS k
   FROM src WINDOW o AS (ORDER BY 3.0 * s / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-final AS (SELECT coalesce(min(level) FILTER (w * level < 3.0 * s), max(level)) AS level FROM filled),
+final AS (SELECT coalesce(arg_min(level, k) FILTER (w * level < 3.0 * s), max(full_at)) AS level FROM filled),
 target AS (
   SELECT source, source_size, s, CASE WHEN s > 0 THEN least(w * f.level, 3.0 * s) ELSE 0.0 END::DOUBLE AS target
   FROM src, final f),
@@ -104,7 +105,7 @@ FROM rated
 ORACLE_SQL["op5_host_rules"] = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t, {_WORDS} AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
   FROM documents),
 g AS (
   SELECT rid, i, w[i] || ' ' || w[i+1] || ' ' || w[i+2] || ' ' || w[i+3] || ' ' || w[i+4] AS k
@@ -114,7 +115,7 @@ covered AS (
   SELECT rid, sum(least(5, coalesce(i - before, 5)))::BIGINT AS n
   FROM (SELECT rid, i, lag(i) OVER (PARTITION BY rid ORDER BY i) AS before FROM hit) GROUP BY rid),
 f AS (
-  SELECT d.rid, doc_id, source, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, x -> length(x))), 0)::BIGINT AS word_chars,
+  SELECT d.rid, doc_id, source, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
          len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(l)::BIGINT AS n_lines,
          (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words
   FROM d LEFT JOIN covered c USING (rid)),
@@ -123,7 +124,7 @@ j AS (
          100 * n_symbols > 10 * word_chars OR 100 * n_dup_lines > 30 * n_lines AS mild FROM f),
 h AS (SELECT source, count(*) AS n, sum(base_failed::INT) AS failed FROM j GROUP BY source),
 m AS (SELECT avg(failed / n) AS m, greatest(var_pop(failed / n) - avg((failed / n) * (1 - failed / n) / n), 1e-6) AS b FROM h),
-p AS (SELECT m, least(greatest(m * (1 - m) / b - 1, 1.0), 1e4) AS k FROM m),
+p AS (SELECT m.m AS m, least(greatest(m.m * (1 - m.m) / m.b - 1, 1.0), 1e4) AS k FROM m),
 r AS (SELECT source, (failed + p.m * p.k) / (n + p.k) AS rate FROM h, p)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT (base_failed OR rate >= 0.9 OR (rate >= 0.5 AND mild)) AS kept
