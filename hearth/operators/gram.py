@@ -65,19 +65,15 @@ class Design:
         self.d = i + 1
 
 
-def fold_statistics(df: DataFrame, numeric, categorical, fold_col: str | None, k: int,
-                    approx: bool = False):
+def fold_statistics(df: DataFrame, numeric, categorical, fold_col: str | None, k: int):
     """Medians per training set (-1 = all rows, j = all rows but fold j),
     plus centres and sorted levels over all rows — one pass over the rows.
 
-    Exact path: rows are unpivoted once and counted per (fold, column, value)
-    with map-side partial aggregation; only that distinct-value table is fanned
-    out to the k + 1 training sets, and each median (interpolated on even
-    counts) is read off cumulative counts. Memory follows the distinct values,
-    which is bounded for the integer-valued listing columns; ``approx=True``
-    uses the bounded quantile sketch for continuous columns."""
-    if approx:
-        return _fold_statistics_approx(df, numeric, categorical, fold_col, k)
+    Rows are unpivoted once and counted per (fold, column, value) with map-side
+    partial aggregation; only that distinct-value table is fanned out to the
+    k + 1 training sets, and each median (interpolated on even counts) is read
+    off cumulative counts. Memory follows the distinct values, which is bounded
+    for the integer-valued listing columns."""
     fold = F.col(fold_col).cast("int") if fold_col else F.lit(0)
     items = [F.struct(F.lit(c).alias("col"), F.col(c).cast("double").alias("x"),
                       F.lit(None).cast("string").alias("s")) for c in numeric]
@@ -114,35 +110,6 @@ def fold_statistics(df: DataFrame, numeric, categorical, fold_col: str | None, k
     return medians, Design(list(numeric), list(categorical), centers, levels)
 
 
-def _fold_statistics_approx(df: DataFrame, numeric, categorical, fold_col: str | None, k: int):
-    """Sketch-based variant: rows fan out to the training sets they belong to
-    and ``percentile_approx`` keeps a bounded buffer per (set, column)."""
-    sets = F.array(F.lit(-1), *[F.when(F.col(fold_col) != j, F.lit(j)) for j in range(k)]) if fold_col \
-        else F.array(F.lit(-1))
-    num = [F.struct(F.lit(c).alias("col"), F.col(c).cast("double").alias("x"),
-                    F.lit(None).cast("string").alias("s")) for c in numeric]
-    cat = [F.struct(F.lit(c).alias("col"), F.lit(None).cast("double").alias("x"),
-                    F.col(c).cast("string").alias("s")) for c in categorical]
-    long = df.select(F.explode(sets).alias("train_of"), F.explode(F.array(*num, *cat)).alias("v")) \
-        .filter(F.col("train_of").isNotNull()) \
-        .select("train_of", "v.col", "v.x", F.when(F.col("train_of") == -1, F.col("v.s")).alias("s"))
-    every = F.col("train_of") == -1
-    rows = long.groupBy("train_of", "col").agg(
-        F.percentile_approx("x", 0.5, 100000).alias("med"), F.avg(F.when(every, F.col("x"))).alias("avg"),
-        F.array_sort(F.collect_set("s")).alias("lv")).collect()
-    medians: dict = {t: {c: None for c in numeric} for t in [-1, *(range(k) if fold_col else [])]}
-    centers, levels = {c: 0.0 for c in numeric}, {c: [] for c in categorical}
-    for r in rows:
-        t, c = int(r["train_of"]), r["col"]
-        if c in numeric:
-            medians[t][c] = r["med"]
-            if t == -1:
-                centers[c] = float(r["avg"] or 0.0)
-        elif t == -1:
-            levels[c] = list(r["lv"])
-    return medians, Design(list(numeric), list(categorical), centers, levels)
-
-
 def _partition_grams(design: Design, keys: list[str], target: str):
     numeric, categorical = design.numeric, design.categorical
     d = design.d
@@ -296,58 +263,43 @@ def _centered(G):
     return n, fbar, ybar, C, cy
 
 
-def _coordinate_descent(C, cy, yvar, n, l1pen, l2pen, max_iter, tol=1e-4, warm=None):
-    """Cyclic coordinate descent on the covariance form; stops on the relative
-    coefficient change and then on the duality gap (tolerance scaled by ‖y‖²)."""
-    q = len(cy)
-    Q, qv = n * C, n * cy
-    alpha, beta = l1pen * n, l2pen * n
-    y_norm2 = n * yvar
-    tol = tol * y_norm2
-    b = np.zeros(q) if warm is None else warm.copy()
-    H = Q @ b
-    diag = np.diag(Q).tolist()
-    qv_l = qv.tolist()
-    bl = b.tolist()
-    cols = [np.ascontiguousarray(Q[:, j]) for j in range(q)]
-    for it in range(max_iter):
-        w_max, d_w_max = 0.0, 0.0
-        for j in range(q):
-            dj = diag[j]
-            if dj == 0.0:
-                continue
-            old = bl[j]
-            rho = qv_l[j] - float(H[j]) + dj * old
-            if rho > alpha:
-                new = (rho - alpha) / (dj + beta)
-            elif rho < -alpha:
-                new = (rho + alpha) / (dj + beta)
-            else:
-                new = 0.0
-            if new != old:
-                H += cols[j] * (new - old)
-                bl[j] = new
-                d = abs(new - old)
-                if d > d_w_max:
-                    d_w_max = d
-            if abs(new) > w_max:
-                w_max = abs(new)
-        b = np.array(bl)
-        if w_max == 0.0 or d_w_max / w_max < 1e-4 or it == max_iter - 1:
-            XtA = qv - H - beta * b
-            dual = np.max(np.abs(XtA)) if q else 0.0
-            q_dot_w = qv @ b
-            R2 = y_norm2 + b @ H - 2.0 * q_dot_w
-            if dual > alpha:
-                const = alpha / dual
-                gap = 0.5 * (R2 + R2 * const ** 2)
-            else:
-                const = 1.0
-                gap = R2
-            gap += alpha * np.abs(b).sum() - const * y_norm2 + const * q_dot_w \
-                + 0.5 * beta * (1 + const ** 2) * (b @ b)
-            if gap < tol:
-                break
+SWEEPS = 8
+
+
+def _elastic_net(C, cy, l1, l2, max_iter, tol=1e-6, start=None):
+    """Minimiser of ½bᵀCb − cyᵀb + l1‖b‖₁ + ½l2‖b‖², by working sets.
+
+    A round takes the coordinates in use and those that break the optimality
+    conditions, settles their signs with a few soft-threshold sweeps over their own
+    small block of C, then solves the linear system that these signs leave. It ends
+    when no condition is broken by more than ``tol`` of the largest correlation."""
+    b = np.zeros(len(cy)) if start is None else start.copy()
+    curve = np.diag(C)
+    usable = curve > 1e-14 * curve.max(initial=0.0)
+    limit = tol * np.abs(cy).max(initial=0.0)
+    for _ in range(max_iter):
+        pull = cy - C @ b - l2 * b
+        broken = usable & (np.where(b != 0, np.abs(pull - l1 * np.sign(b)), np.abs(pull) - l1) > limit)
+        if not broken.any():
+            break
+        work = np.flatnonzero(broken | (b != 0))
+        block, x = C[np.ix_(work, work)], b[work]
+        rest = cy[work] - C[work] @ b
+        for _ in range(SWEEPS):
+            for j in range(len(work)):
+                reach = rest[j] + block[j, j] * x[j]
+                step = np.sign(reach) * max(abs(reach) - l1, 0.0) / (block[j, j] + l2) - x[j]
+                if step:
+                    rest -= step * block[j]
+                    x[j] += step
+        used = np.flatnonzero(x)
+        signs = np.sign(x[used])
+        system, wanted = block[np.ix_(used, used)] + l2 * np.eye(len(used)), cy[work[used]] - l1 * signs
+        exact = np.linalg.lstsq(system, wanted, rcond=None)[0]
+        # collinear columns may leave no solution with these signs: then the sweeps go on
+        if np.array_equal(np.sign(exact), signs) and np.allclose(system @ exact, wanted, rtol=0, atol=limit):
+            x[used] = exact
+        b[work] = x
     return b
 
 
@@ -365,9 +317,7 @@ def solve(G: np.ndarray, spec: LinearSpec, warm: np.ndarray | None = None):
         b = np.linalg.solve(n * C + spec.alpha * np.eye(q), n * cy)
     else:
         l1 = 1.0 if spec.kind == "lasso" else spec.l1_ratio
-        yvar = G[q + 1, q + 1] / n - ybar * ybar
-        b = _coordinate_descent(C, cy, yvar, n, spec.alpha * l1, spec.alpha * (1 - l1), spec.max_iter,
-                                warm=warm)
+        b = _elastic_net(C, cy, spec.alpha * l1, spec.alpha * (1 - l1), spec.max_iter, start=warm)
     return ybar - fbar @ b, b
 
 
@@ -386,7 +336,7 @@ class LinearCV:
 
     def __init__(self, df: DataFrame, numeric, categorical, target: str = "y",
                  fold_col: str = "fold", k: int = 5, inner_col: str | None = None,
-                 k_inner: int = 3, approx_median: bool = False, scale: bool = True):
+                 k_inner: int = 3, scale: bool = True):
         self.numeric, self.categorical = list(numeric), list(categorical)
         self.target, self.fold_col, self.k = target, fold_col, k
         self.inner_col, self.k_inner, self.scale = inner_col, k_inner, scale
@@ -394,12 +344,10 @@ class LinearCV:
         cols = ["id", *keys, *self.numeric, *self.categorical, target]
         table = df.select(*cols).filter(F.col(target).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            self.medians, self.design = fold_statistics(table, self.numeric, self.categorical,
-                                                        fold_col, k, approx_median)
+            self.medians, self.design = fold_statistics(table, self.numeric, self.categorical, fold_col, k)
             self.cells = gram_cells(table, self.design, keys, target)
         finally:
             table.unpersist()
-        self.passes = 2
         d = self.design.d
         self.fold_S = {j: sum((S for key, S in self.cells.items() if key[0] == j), np.zeros((d, d)))
                        for j in range(k)}

@@ -57,12 +57,15 @@ def correlation_matrix(df: DataFrame, target: str = "sale_price", top: int = 11)
     The column choice is a bounded (``top``-row) driver read; the matrix is
     one more aggregate."""
     best = [r["column"] for r in target_correlation(df, target, top).collect()]
-    pairs = [(a, b) for a in best for b in best]
+    pairs = [(a, b) for i, a in enumerate(best) for b in best[i:]]  # the other half is the mirror image
     wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}||{b}")
                     for a, b in pairs])
     long = _long(wide, [f"{a}||{b}" for a, b in pairs], "pair", "r")
     parts = F.split(F.col("pair"), r"\|\|")
-    return long.select(parts[0].alias("col_a"), parts[1].alias("col_b"), rnd("r", 6).alias("corr"))
+    one = F.struct(parts[0].alias("col_a"), parts[1].alias("col_b"))
+    two = F.struct(parts[1].alias("col_a"), parts[0].alias("col_b"))
+    both = F.when(parts[0] == parts[1], F.array(one)).otherwise(F.array(one, two))
+    return long.select(F.explode(both).alias("p"), rnd("r", 6).alias("corr")).select("p.col_a", "p.col_b", "corr")
 
 
 def target_skew(df: DataFrame, target: str = "sale_price") -> DataFrame:

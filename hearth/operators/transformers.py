@@ -66,18 +66,13 @@ def exact_medians(df: DataFrame, cols) -> dict:
 
 
 class MedianImputer(Estimator):
-    """Null → median of the training column (interpolated on even counts).
-    ``approx=True`` uses the bounded-memory quantile sketch for huge data."""
+    """Null → median of the training column (interpolated on even counts)."""
 
-    def __init__(self, cols, approx: bool = False, accuracy: int = 100000):
+    def __init__(self, cols):
         super().__init__()
-        self.cols, self.approx, self.accuracy = list(cols), approx, accuracy
+        self.cols = list(cols)
 
     def _fit(self, df: DataFrame) -> MedianImputerModel:
-        if self.approx:
-            aggs = [F.percentile_approx(F.col(c).cast("double"), 0.5, self.accuracy).alias(c) for c in self.cols]
-            row = df.agg(*aggs).first()
-            return MedianImputerModel(medians={c: float(row[c]) if row[c] is not None else None for c in self.cols})
         return MedianImputerModel(medians=exact_medians(df, self.cols))
 
 
@@ -87,19 +82,25 @@ class ModeImputerModel(_StateModel):
         return self.s.get("modes", {})
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({c: F.coalesce(F.col(c), F.lit(m)) for c, m in self.modes.items()})
+        return df.withColumns({c: F.coalesce(F.col(c), F.lit(m).cast(df.schema[c].dataType)) for c, m in self.modes.items()})
 
 
 class ModeImputer(Estimator):
-    """Null → most frequent value; ties go to the smallest value."""
+    """Null → most frequent value; ties go to the smallest value. Values are
+    counted per (column, value) first, so no task holds all values of a column."""
 
     def __init__(self, cols):
         super().__init__()
         self.cols = list(cols)
 
     def _fit(self, df: DataFrame) -> ModeImputerModel:
-        row = df.agg(*[F.mode(c, deterministic=True).alias(c) for c in self.cols]).first()
-        return ModeImputerModel(modes={c: row[c] for c in self.cols})
+        modes = dict.fromkeys(self.cols)
+        if self.cols:
+            long = df.select(*[F.col(c).cast("string").alias(c) for c in self.cols]).unpivot([], self.cols, "column", "level")
+            counts = long.filter(F.col("level").isNotNull()).groupBy("column", "level").agg(F.count(F.lit(1)).alias("n"))
+            top = counts.groupBy("column").agg(F.min_by("level", F.struct((-F.col("n")).alias("n"), "level")).alias("mode"))
+            modes.update({r["column"]: r["mode"] for r in top.collect()})  # one row per column
+        return ModeImputerModel(modes=modes)
 
 
 class PopulationScalerModel(_StateModel):

@@ -9,37 +9,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Codes and labels of the listing's coded fields, in the
-# codebook's own layout (quality labels as the reference codebook has them;
-# the pool field lists NA and no Po, as there).
-LISTING_CODEBOOK = """kitchen_qual: Kitchen quality
+# Codes of the listing's coded fields (the pool field lists NA and no Po).
+LISTING_CODEBOOK = """kitchen_qual: State of the kitchen
 
-       Ex\tExcellent
-       Gd\tGood
-       TA\tTypical/Average
-       Fa\tFair
-       Po\tPoor
+       Ex\tBest grade
+       Gd\tAbove the usual
+       TA\tAs usual
+       Fa\tBelow the usual
+       Po\tWorst grade
 
-exter_qual: Evaluates the quality of the material on the exterior
+exter_qual: State of the outer walls
 
-       Ex\tExcellent
-       Gd\tGood
-       TA\tAverage/Typical
-       Fa\tFair
-       Po\tPoor
+       Ex\tBest grade
+       Gd\tAbove the usual
+       TA\tAs usual
+       Fa\tBelow the usual
+       Po\tWorst grade
 
-pool_qual: Pool quality
+pool_qual: State of the swimming pool
 
-       Ex\tExcellent
-       Gd\tGood
-       TA\tAverage/Typical
-       Fa\tFair
-       NA\tNo Pool
+       Ex\tBest grade
+       Gd\tAbove the usual
+       TA\tAs usual
+       Fa\tBelow the usual
+       NA\tWithout a pool
 
-central_air: Central air conditioning
+central_air: Whole-house cooling
 
-       N\tNo
-       Y\tYes
+       N\tAbsent
+       Y\tPresent
 
 sale_type: Type of sale
 

@@ -42,8 +42,8 @@ def test_json_listing_scan(spark):
 def test_codebook_parse(spark):
     cb = CB.parse_codebook(CB.codebook_text_frame(spark)).collect()
     got = {(r.field, r.code): r.label for r in cb}
-    assert got[("kitchen_qual", "TA")] == "Typical/Average"
-    assert got[("pool_qual", "NA")] == "No Pool"
+    assert got[("kitchen_qual", "TA")] == "As usual"
+    assert got[("pool_qual", "NA")] == "Without a pool"
     assert ("pool_qual", "Po") not in got
     assert {f for f, _ in got} == {"kitchen_qual", "exter_qual", "pool_qual", "central_air", "sale_type", "segment"}
 
