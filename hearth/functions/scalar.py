@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "hash_int", "hash_int_sql", "clip_lower", "log_target", "inverse_log",
     "log1p_target", "expm1_target", "coerce_numeric", "safe_name",
-    "format_money", "input_hash", "direction_arrow", "fmt_fixed", "rnd",
+    "format_money", "input_hash", "json_text", "direction_arrow", "fmt_fixed", "rnd",
 ]
 
 
@@ -81,6 +81,25 @@ def format_money(amount, jurisdiction) -> Column:
     return F.concat(sym, F.lit(" "), F.format_number(_c(amount), 0))
 
 
+_PLAIN_JSON = r"[\x20\x21\x23-\x5B\x5D-\x7E]+"
+_SHORT_JSON = {'"': '\\"', "\\": "\\\\", "\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
+
+
+def json_text(x) -> Column:
+    """Text as a JSON string in the layout of Python's ``json.dumps``: quotes,
+    backslashes and controls escaped, all but ASCII as UTF-16 ``\\uXXXX``. Null → ``null``."""
+    t = _c(x).cast("string")
+    short = F.create_map(*[F.lit(v) for pair in _SHORT_JSON.items() for v in pair])
+
+    def piece(p: Column) -> Column:
+        units = F.regexp_replace(F.lower(F.hex(F.encode(p, "UTF-16BE"))), "(.{4})", r"\\u$1")
+        return F.when(p.rlike(_PLAIN_JSON), p).otherwise(F.coalesce(short[p], units))
+
+    escaped = F.array_join(F.transform(F.regexp_extract_all(t, F.lit(f"(?s){_PLAIN_JSON}|."), F.lit(0)), piece), "")
+    body = F.when(t.rlike(f"^(?:{_PLAIN_JSON})?\\z"), t).otherwise(escaped)
+    return F.coalesce(F.concat(F.lit('"'), body, F.lit('"')), F.lit("null"))
+
+
 def input_hash(fields: dict[str, Column]) -> Column:
     """16 hex chars of SHA-256 over the key-sorted JSON text of a record, in
     the layout of Python's ``json.dumps(sort_keys=True)`` (", " and ": ").

@@ -16,7 +16,6 @@ GBT values are the weighted sum over trees; values + base = prediction.
 
 from __future__ import annotations
 
-import itertools
 import math
 
 import numpy as np
@@ -47,6 +46,23 @@ def _weights(u: int) -> list[float]:
     return [math.factorial(s) * math.factorial(u - s - 1) / math.factorial(u) for s in range(u)]
 
 
+def _leaf_table(z: np.ndarray, worth: float) -> np.ndarray:
+    """Shapley values of a leaf by pattern (row) and path feature (column).
+
+    The sum over subsets S of one size is a coefficient of Π_p (z_p + o_p·t), the
+    product over the other features, built up for all patterns at once."""
+    u = len(z)
+    o = ((np.arange(2 ** u)[:, None] >> np.arange(u)) & 1).astype(float)
+    table = np.zeros((2 ** u, u))
+    for i in range(u):
+        poly = np.ones((2 ** u, 1))
+        for p in range(u):
+            if p != i:
+                poly = np.pad(poly * z[p], ((0, 0), (0, 1))) + np.pad(poly * o[:, [p]], ((0, 0), (1, 0)))
+        table[:, i] = worth * (o[:, i] - z[i]) * (poly @ np.array(_weights(u)))
+    return table
+
+
 def extract(model) -> dict:
     """Leaf tables of a fitted GBT/forest/tree regression model (driver side)."""
     trees = getattr(model, "trees", None) or [model]
@@ -63,22 +79,7 @@ def extract(model) -> dict:
             feats = sorted({f for f, _, _, _ in path})
             conds = {f: [(c, go_left) for g, c, go_left, _ in path if g == f] for f in feats}
             z = np.array([np.prod([r for g, _, _, r in path if g == f]) for f in feats])
-            u = len(feats)
-            table = np.zeros((2 ** u, u))
-            if u:
-                cw = _weights(u)
-                for pat in range(2 ** u):
-                    o = np.array([(pat >> p) & 1 for p in range(u)], dtype=float)
-                    for i in range(u):
-                        others = [p for p in range(u) if p != i]
-                        tot = 0.0
-                        for s in range(len(others) + 1):
-                            for S in itertools.combinations(others, s):
-                                prod = 1.0
-                                for p in others:
-                                    prod *= o[p] if p in S else z[p]
-                                tot += cw[s] * prod
-                        table[pat, i] = w * value * (o[i] - z[i]) * tot
+            table = _leaf_table(z, w * value)
             out_leaves.append((feats, conds, table))
     return {"leaves": out_leaves, "base": base}
 

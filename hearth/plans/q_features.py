@@ -68,23 +68,20 @@ def standard_scale_q(spark, sf):
 
 # --- encoders ----------------------------------------------------------------------
 
-_SEEN = "neighborhood < 'NATION_2'"   # fit on part of the levels so that unseen levels occur
-
-
 def _slot_sql(c: str) -> str:
-    return (f"coalesce((SELECT CAST(count(DISTINCT t.{c}) AS INTEGER) FROM model t WHERE {_SEEN} AND t.{c} < s.{c})"
-            f" * CASE WHEN s.{c} IN (SELECT {c} FROM model WHERE {_SEEN}) THEN 1 ELSE NULL END, -1)")
+    return (f"coalesce((SELECT CAST(count(DISTINCT t.{c}) AS INTEGER) FROM model t WHERE t.{c} < s.{c})"
+            f" * CASE WHEN s.{c} IN (SELECT {c} FROM model) THEN 1 ELSE NULL END, -1)")
 
 
 @query("one_hot", B() + f"""
 SELECT s.id, {', '.join(f'{_slot_sql(c)} AS {c}_slot' for c in ENC_CATS)},
-       CAST({' + '.join(f'CASE WHEN s.{c} IN (SELECT {c} FROM model WHERE {_SEEN}) THEN 1 ELSE 0 END' for c in ENC_CATS)} AS DOUBLE) AS n_hot
+       CAST({' + '.join(f'CASE WHEN s.{c} IN (SELECT {c} FROM model) THEN 1 ELSE 0 END' for c in ENC_CATS)} AS DOUBLE) AS n_hot
 FROM scoring s""")
 def one_hot_q(spark, sf):
     """Slot of the hot bit per column (−1: unseen level → all-zero block)."""
     from pyspark.ml import Pipeline
     tr, te = train_test(spark, sf)
-    model = Pipeline(stages=T.one_hot_stages(ENC_CATS)).fit(tr.filter(_SEEN))
+    model = Pipeline(stages=T.one_hot_stages(ENC_CATS)).fit(tr)
     out = model.transform(te)
     cols = {}
     for c in ENC_CATS:
@@ -99,7 +96,7 @@ def one_hot_q(spark, sf):
 SELECT s.id, {', '.join(f'CAST({_slot_sql(c)} AS DOUBLE) AS {c}_ord' for c in ENC_CATS)} FROM scoring s""")
 def ordinal_encode_q(spark, sf):
     tr, te = train_test(spark, sf)
-    m = T.OrdinalEncoder(ENC_CATS).fit(tr.filter(_SEEN))
+    m = T.OrdinalEncoder(ENC_CATS).fit(tr)
     return m.transform(te).select("id", *[f"{c}_ord" for c in ENC_CATS])
 
 

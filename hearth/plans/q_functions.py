@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalar as X
-from ..sources.listing import QUALITY_SCORE
+from ..sources.listing import CATEGORICAL_COLUMNS, NUMERIC_COLUMNS, QUALITY_SCORE
 from ..sources.tables import read_table
 from . import frames as fr
 from .catalog import query
@@ -95,15 +95,13 @@ def format_money_q(spark, sf):
         "id", X.format_money("sale_price", "neighborhood").alias("money"))
 
 
-HASH_FIELDS = ["area", "lot_area", "overall_qual", "overall_cond", "year_built", "year_remod",
-               "bsmt_area", "garage_cars", "full_bath", "neighborhood", "kitchen_qual",
-               "exter_qual", "central_air"]
-_TEXT = {"neighborhood", "kitchen_qual", "exter_qual", "central_air"}
+HASH_FIELDS = NUMERIC_COLUMNS + CATEGORICAL_COLUMNS
+_TEXT = set(CATEGORICAL_COLUMNS)
 
 
 def _json_value(c: str):
     if c in _TEXT:
-        return F.when(F.col(c).isNull(), F.lit("null")).otherwise(F.concat(F.lit('"'), F.col(c), F.lit('"')))
+        return X.json_text(c)
     return F.coalesce(F.col(c).cast("string"), F.lit("null"))
 
 

@@ -71,35 +71,34 @@ def _h(s):
     return int(hashlib.md5(s.encode()).hexdigest()[:8], 16)
 
 
-def test_permutation_shortcut_equals_explicit_permutation(spark):
+def test_permutation_importance_equals_all_donors(spark):
+    """The closed form is the mean rise when each row takes each row's value once."""
     df = folded(spark, SF_SMALL)
     cv = full_cv(spark, SF_SMALL)
     spec = LinearSpec("ridge", 10.0)
-    got = {r.feature: r.importance for r in
-           X.permutation_importance_linear(df, cv, spec, "y", repeats=1, seed=42).collect()}
+    got = {r.feature: r.importance for r in X.permutation_importance_linear(df, cv, spec, "y").collect()}
     tf, b0, b = cv.fit(spec, None)
     pred = cv.prediction_expr(tf, b0, b)
-    pdf = df.toPandas()
-    n = len(pdf)
-    buckets = max(1, math.ceil(n / 50_000))
-    pdf["b"] = [_h(f"{i}:pb42") % buckets for i in pdf.id]
-    pdf["k"] = [_h(f"{i}:pk42:0") for i in pdf.id]
-    pdf = pdf.sort_values(["b", "k", "id"]).reset_index(drop=True)
-    base_mse = df.select(((F.col("y") - pred) ** 2).alias("e2")).agg(F.avg("e2")).first()[0]
-    for feat in ["area", "neighborhood", "overall_qual"]:
-        perm = pdf.copy()
-        donors = []
-        for _, g in pdf.groupby("b", sort=False):
-            vals = g[feat].tolist()
-            donors += [vals[-1]] + vals[:-1]
-        perm[feat] = donors
-        sdf = spark.createDataFrame(perm[["id", "y", *fr.MODEL_NUMERIC, *fr.MODEL_CATEGORICAL]]
-                                    .astype({c: "float64" for c in fr.MODEL_NUMERIC}))
-        mse = sdf.select(((F.col("y") - pred) ** 2).alias("e2")).agg(F.avg("e2")).first()[0]
-        assert got[feat] == pytest.approx(mse - base_mse, rel=1e-6, abs=1e-12)
+    terms = X.linear_terms(cv, tf, b)
+    pdf = df.select((F.col("y") - pred).alias("e"), *[t.alias(f) for f, t in terms.items()]).toPandas()
+    for feat in terms:
+        e, t = pdf["e"].to_numpy(), pdf[feat].to_numpy()
+        total = sum(np.sum((e + t - donor) ** 2 - e * e) for donor in t)
+        assert got[feat] == pytest.approx(total / len(t) ** 2, rel=1e-6, abs=1e-9)
     assert got["area"] > 0
 
 
+def test_linear_terms_add_up_to_the_prediction(spark):
+    """Rescoring a row with another value of a column moves the prediction by the terms' difference."""
+    df = folded(spark, SF_SMALL)
+    cv = full_cv(spark, SF_SMALL)
+    tf, b0, b = cv.fit(LinearSpec("ridge", 10.0), None)
+    pred = cv.prediction_expr(tf, b0, b)
+    gap = pred - sum(X.linear_terms(cv, tf, b).values(), F.lit(0.0))
+    r = df.agg(F.min(gap).alias("lo"), F.max(gap).alias("hi")).first()
+    assert r.hi - r.lo == pytest.approx(0, abs=1e-9)
+
+
 def test_ensemble_smoke(spark):
     """The reference's smoke test, on the driver tables: finite blended score
     below 0.5, weight in [0, 1], reload works, positive prices, k finite factors."""

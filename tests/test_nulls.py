@@ -86,3 +86,24 @@ def test_salted_top_k_equals_plain_window_with_a_hot_group(spark):
     want = {(r.g, r.id, r.rank) for r in df.withColumn("rank", F.row_number().over(w))
             .filter(F.col("rank") <= 5).collect()}
     assert got == want
+
+
+def test_encoders_mark_levels_they_have_not_seen(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+
+    from hearth.operators import transformers as T
+    tr = spark.createDataFrame([("a",), ("c",), (None,)], "k string")
+    te = spark.createDataFrame([("a",), ("b",), ("c",)], "k string")
+    assert [r.k_ord for r in T.OrdinalEncoder(["k"]).fit(tr).transform(te).orderBy("k").collect()] == [0.0, -1.0, 1.0]
+    hot = Pipeline(stages=T.one_hot_stages(["k"])).fit(tr.na.drop()).transform(te).orderBy("k")
+    assert [list(r[0]) for r in hot.select(vector_to_array("k_oh")).collect()] == [[1, 0], [0, 0], [0, 1]]
+
+
+def test_json_text_equals_json_dumps(spark):
+    import json
+
+    from hearth.functions.scalar import json_text
+    texts = ["", "plain text", 'a "quoted" word', "back\\slash", "line\nfeed\r\t\b\f", "\x00\x1f\x7f", "é ß 漢字 😀", "end\n", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    assert [r[0] for r in df.orderBy("i").select(json_text("t")).collect()] == [json.dumps(t) for t in texts]

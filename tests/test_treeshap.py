@@ -9,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
-from hearth.operators.treeshap import extract, shap_values, tree_shap
+from hearth.operators.treeshap import _leaf_table, extract, shap_values, tree_shap
 from hearth.plans import frames as fr
 from tests.conftest import SF_SMALL
 
@@ -67,3 +67,12 @@ def test_additivity_distributed(fitted):
     sh = tree_shap(df, model).join(pred, "id").collect()
     for r in sh:
         assert r.base_value + sum(r.shap) == pytest.approx(r.prediction, abs=1e-9)
+
+
+def test_leaf_table_of_a_deep_path_adds_up():
+    """Eight features on one path: values of each pattern sum to the leaf's gain over the base."""
+    z = np.linspace(0.2, 0.9, 8)
+    table = _leaf_table(z, 3.0)
+    bits = (np.arange(256)[:, None] >> np.arange(8)) & 1
+    full = 3.0 * bits.prod(1)
+    assert table.sum(1) == pytest.approx(full - 3.0 * z.prod())
