@@ -13,6 +13,13 @@ from pyspark.sql import functions as F
 from hearth.llm.common import written
 
 
+def _stars(e: DataFrame) -> bool:
+    """Whether each node is either a root or linked with one root alone."""
+    ends = e.select("b", F.lit(1).alias("up"), F.lit(0).alias("down")).union(e.select("a", F.lit(0), F.lit(1)))
+    return ends.groupBy("b").agg(F.sum("up").alias("up"), F.sum("down").alias("down")).filter(
+        "up > 1 or (up > 0 and down > 0)").count() == 0
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(a, b) links → (node, root): each node that occurs, with the smallest node of its component.
 
@@ -20,16 +27,11 @@ def components(edges: DataFrame) -> DataFrame:
     """
     e = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct()
     e = written(e, "cc-edges")
-    before = None
-    while True:
-        mark = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == before or not mark[0]:
-            break
-        before = mark
+    while not _stars(e):
         # large star: the larger neighbours of a node move to the smallest of its neighbourhood
         n = e.union(e.select("b", "a")).toDF("u", "v")
         m = n.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = n.join(m, "u").filter("v > u").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
+        large = n.join(m, "u").filter("v > u").select(F.col("m").alias("a"), F.col("v").alias("b"))
         # small star: a node and its smaller neighbours move to the smallest of these
         large = written(large, "cc-large")
         s = large.groupBy("b").agg(F.min("a").alias("m"))
