@@ -7,9 +7,10 @@ ones, the host's furniture, are deleted.
 
 Differencing alone cannot give right results: pages that carry copies of one article
 share the article too, and the only page of a host shares nothing.  An exact check on
-the markup therefore follows, line by line: shared lines inside the page's article
-(article, main, or a container named as content) come back, and lines of elements
-that are furniture by their tag, role or class go, shared or not.
+the markup therefore follows, line by line: shared lines inside an article (article or
+a container named as one) come back, and lines of elements that are furniture by their
+tag, role or class go, shared or not.  main and containers named as content may hold
+the host's furniture: there, and in unnamed containers, the differencing decides.
 
 The sort is a range partitioning on (host, path, page_id): a host with a third of all
 pages spreads over many tasks, and a task reads its pages one by one, holding three.
@@ -38,7 +39,8 @@ FURNITURE_WORDS = frozenset("""ad ads advert advertisement advertising adverts a
     consent cookie cookies copyright disqus footer form gdpr header login masthead menu menubar modal nav navbar navigation
     newsletter notice notices overlay pager pagination popup promo promotion related replies reply search share sharing
     sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget""".split())
-CONTENT_WORDS = frozenset("article content entry main post story".split())
+ARTICLE_WORDS = frozenset("article entry post story".split())
+CONTENT_WORDS = ARTICLE_WORDS | {"content", "main"}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
@@ -50,7 +52,8 @@ _CLOSED_BY = {"p": frozenset(("p",)), "li": frozenset(("li",)), "option": frozen
               "dt": frozenset(("dt", "dd")), "dd": frozenset(("dt", "dd")), "tr": frozenset(("tr", "td", "th")),
               "td": frozenset(("td", "th")), "th": frozenset(("td", "th"))}
 
-FURNITURE, CONTENT = 1, 2
+#: An article is content as well.
+FURNITURE, CONTENT, ARTICLE = 1, 2, 3
 
 
 def _kind(tag: str, raw: str, in_content: bool) -> int:
@@ -65,24 +68,26 @@ def _kind(tag: str, raw: str, in_content: bool) -> int:
     if tag not in ("html", "body", "article", "main") and words & FURNITURE_WORDS:
         return FURNITURE
     if tag in ("article", "main") or attrs.get("role", "").lower() in ("main", "article"):
-        return CONTENT if not words & FURNITURE_WORDS else FURNITURE
+        if words & FURNITURE_WORDS:
+            return FURNITURE
+        return ARTICLE if tag == "article" or attrs.get("role", "").lower() == "article" else CONTENT
     if tag in ("div", "section", "td") and words & CONTENT_WORDS:
-        return CONTENT
+        return ARTICLE if words & ARTICLE_WORDS else CONTENT
     return 0
 
 
 def page_lines(source: str) -> list[tuple[str, bool, bool]]:
-    """(text, in furniture, in content) of every block of a page, in page order."""
+    """(text, in furniture, in an article) of every block of a page, in page order."""
     out: list[tuple[str, bool, bool]] = []
     open_: list[tuple[str, int]] = []
     text: list[str] = []
-    counts = [0, 0, 0]  # open elements by kind
+    counts = [0, 0, 0, 0]  # open elements by kind
 
     def flush() -> None:
         line = _SPACE.sub(" ", html.unescape("".join(text))).strip()
         text.clear()
         if line:
-            out.append((line, counts[FURNITURE] > 0, counts[CONTENT] > 0))
+            out.append((line, counts[FURNITURE] > 0, counts[ARTICLE] > 0))
 
     def close(at: int) -> None:
         for _, k in open_[at:]:
@@ -117,7 +122,7 @@ def page_lines(source: str) -> list[tuple[str, bool, bool]]:
         ends = _CLOSED_BY.get(tag)
         if ends and open_ and open_[-1][0] in ends:
             close(len(open_) - 1)
-        kind = _kind(tag, raw, counts[CONTENT] > 0)
+        kind = _kind(tag, raw, counts[CONTENT] + counts[ARTICLE] > 0)
         open_.append((tag, kind))
         counts[kind] += 1
     flush()
@@ -166,13 +171,10 @@ def shared_lines(a: list[str], b: list[str]) -> set[int]:
 def main_text(lines: list[tuple[str, bool, bool]], near: list[tuple[str, bool, bool]] | None) -> str:
     """The page's own lines: those that ``near`` does not share, then the check on the markup."""
     gone = shared_lines([x[0] for x in lines], [x[0] for x in near]) if near else set()
-    has_content = any(content and not furniture for _, furniture, content in lines)
     kept = []
-    for i, (line, furniture, content) in enumerate(lines):
-        own = i not in gone
-        if has_content:
-            own = content  # an article is whole though its copies share it
-        if own and not furniture:
+    for i, (line, furniture, article) in enumerate(lines):
+        # an article is whole though its copies share it
+        if (i not in gone or article) and not furniture:
             kept.append(line)
     return "\n".join(kept)
 
