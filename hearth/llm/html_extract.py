@@ -10,7 +10,9 @@ share the article too, and the only page of a host shares nothing.  An exact che
 the markup therefore follows, line by line: shared lines inside an article (article or
 a container named as one) come back, and lines of elements that are furniture by their
 tag, role or class go, shared or not.  main and containers named as content may hold
-the host's furniture: there, and in unnamed containers, the differencing decides.
+the host's furniture: there, and in unnamed containers, the differencing decides.  A class or id names
+furniture as a whole, or joined only with words of place and shape ("site-header"),
+not by any part ("has-sidebar"); an article or main inside such an element is content.
 
 The sort is a range partitioning on (host, path, page_id): a host with a third of all
 pages spreads over many tasks, and a task reads its pages one by one, holding three.
@@ -39,8 +41,17 @@ FURNITURE_WORDS = frozenset("""ad ads advert advertisement advertising adverts a
     consent cookie cookies copyright disqus footer form gdpr header login masthead menu menubar modal nav navbar navigation
     newsletter notice notices overlay pager pagination popup promo promotion related replies reply search share sharing
     sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget""".split())
+#: Of these, words that name parts of a text as well: they count on containers, not on text elements.
+SOFT_WORDS = frozenset("""banner comment footer form header login menu notice notices overlay related replies reply search share sharing
+    signup skip social toolbar widget""".split())
+COMMENT_WORDS = frozenset("comment comments disqus replies reply".split())
 ARTICLE_WORDS = frozenset("article entry post story".split())
 CONTENT_WORDS = ARTICLE_WORDS | {"content", "main"}
+#: Words of place and shape: beside them another word names the element.
+NEUTRAL_WORDS = frozenset("""area bar block body bottom box button buttons column container center desktop global group icon icons inner item items left
+    links list main mobile module outer page panel posts primary right row secondary section single site slot text top unit wrap wrapper""".split())
+TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dl dt dd span a b i em strong".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
@@ -52,47 +63,67 @@ _CLOSED_BY = {"p": frozenset(("p",)), "li": frozenset(("li",)), "option": frozen
               "dt": frozenset(("dt", "dd")), "dd": frozenset(("dt", "dd")), "tr": frozenset(("tr", "td", "th")),
               "td": frozenset(("td", "th")), "th": frozenset(("td", "th"))}
 
-#: An article is content as well.
-FURNITURE, CONTENT, ARTICLE = 1, 2, 3
+#: States of an element, handed down to what is inside: furniture, furniture by its name (by a soft word only), content, article.
+FURNITURE, NAMED, SOFT, CONTENT, ARTICLE = 1, 2, 4, 8, 16
 
 
-def _kind(tag: str, raw: str, in_content: bool) -> int:
+def _named(token: str) -> tuple[int, set[str]]:
+    """State that a whole class or id says, and its furniture words."""
+    parts = {w.lower() for w in _PARTS.findall(token) if len(w) > 1 and not w.isdigit()}
+    bad = parts & FURNITURE_WORDS
+    if bad:
+        if parts - bad - NEUTRAL_WORDS - CONTENT_WORDS or bad == {"header"} and parts & ARTICLE_WORDS:
+            return 0, set()  # "has-sidebar" is a state, "post-header" a part of the text
+        return (SOFT if bad <= SOFT_WORDS else NAMED), bad
+    if parts & CONTENT_WORDS and not parts - CONTENT_WORDS - NEUTRAL_WORDS:
+        return (ARTICLE if parts & ARTICLE_WORDS else CONTENT), bad
+    return 0, set()
+
+
+def _state(tag: str, raw: str, state: int) -> int:
+    """State inside an element that opens within ``state``."""
     if tag in FURNITURE_TAGS:
-        return FURNITURE
+        return state | FURNITURE
     attrs = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(raw, len(tag) + 1)} if "=" in raw else {}
     if "hidden" in attrs or attrs.get("aria-hidden") == "true":
-        return FURNITURE
-    if tag == "header" and not in_content or attrs.get("role", "").lower() in FURNITURE_ROLES:
-        return FURNITURE
-    words = {w.lower() for k in ("class", "id") for w in _PARTS.findall(attrs.get(k, ""))}
-    if tag not in ("html", "body", "article", "main") and words & FURNITURE_WORDS:
-        return FURNITURE
-    if tag in ("article", "main") or attrs.get("role", "").lower() in ("main", "article"):
-        if words & FURNITURE_WORDS:
-            return FURNITURE
-        return ARTICLE if tag == "article" or attrs.get("role", "").lower() == "article" else CONTENT
-    if tag in ("div", "section", "td") and words & CONTENT_WORDS:
-        return ARTICLE if words & ARTICLE_WORDS else CONTENT
-    return 0
+        return state | FURNITURE
+    in_content = state & (CONTENT | ARTICLE)
+    role = attrs.get("role", "").lower()
+    if tag == "header" and not in_content or role in FURNITURE_ROLES:
+        return state | FURNITURE
+    said, bad = 0, set()
+    for token in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
+        kind, words = _named(token)
+        if words == {"header"} and in_content:
+            continue  # the head of the text
+        said, bad = said | kind, bad | words
+    whole = tag in ("article", "main") or role in ("main", "article")
+    if tag in ("html", "body") or tag in HEADINGS and in_content:
+        said = 0
+    if tag in TEXT_TAGS or said & (CONTENT | ARTICLE) and not said & NAMED:
+        said &= ~SOFT
+    if said & (NAMED | SOFT):
+        # articles among comments are comments
+        return state | (FURNITURE if bad & COMMENT_WORDS and tag not in TEXT_TAGS else NAMED if said & NAMED else SOFT)
+    if whole:
+        return state & ~(NAMED | SOFT) | (ARTICLE if "article" in (tag, role) else CONTENT)
+    if tag in ("div", "section", "td") and said:
+        return state & ~SOFT | said
+    return state
 
 
 def page_lines(source: str) -> list[tuple[str, bool, bool]]:
     """(text, in furniture, in an article) of every block of a page, in page order."""
     out: list[tuple[str, bool, bool]] = []
-    open_: list[tuple[str, int]] = []
+    open_: list[tuple[str, int]] = [("", 0)]  # tags and the states inside them
     text: list[str] = []
-    counts = [0, 0, 0, 0]  # open elements by kind
 
     def flush() -> None:
         line = _SPACE.sub(" ", html.unescape("".join(text))).strip()
         text.clear()
         if line:
-            out.append((line, counts[FURNITURE] > 0, counts[ARTICLE] > 0))
-
-    def close(at: int) -> None:
-        for _, k in open_[at:]:
-            counts[k] -= 1
-        del open_[at:]
+            state = open_[-1][1]
+            out.append((line, state & (FURNITURE | NAMED | SOFT) > 0, state & ARTICLE > 0))
 
     at, n = 0, len(source)
     while at < n:
@@ -110,7 +141,7 @@ def page_lines(source: str) -> list[tuple[str, bool, bool]]:
         if raw[1] == "/":
             for i in range(len(open_) - 1, -1, -1):
                 if open_[i][0] == tag:
-                    close(i)
+                    del open_[i:]
                     break
             continue
         if tag in RAW and not raw.endswith("/>"):
@@ -120,11 +151,9 @@ def page_lines(source: str) -> list[tuple[str, bool, bool]]:
         if tag in VOID or raw.endswith("/>"):
             continue
         ends = _CLOSED_BY.get(tag)
-        if ends and open_ and open_[-1][0] in ends:
-            close(len(open_) - 1)
-        kind = _kind(tag, raw, counts[CONTENT] + counts[ARTICLE] > 0)
-        open_.append((tag, kind))
-        counts[kind] += 1
+        if ends and open_[-1][0] in ends:
+            open_.pop()
+        open_.append((tag, _state(tag, raw, open_[-1][1])))
     flush()
     return out
 
