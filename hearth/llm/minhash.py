@@ -304,6 +304,11 @@ def groups(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> Data
     with nothing, nor are rows without a doc_id.  Rows that repeat a doc_id are
     judged by their own texts, one result row each.  An empty table gives no rows.
     """
+    return _grouped(docs, percent, size).drop("cid")
+
+
+def _grouped(docs: DataFrame, percent: int, size: int) -> DataFrame:
+    """``groups`` with the rows' cid (null where nothing links them)."""
     f = written(signatures(docs, size), "near-signatures")
     linked = f.filter("cid is not null and doc_id is not null")
     classes = written(linked.groupBy("cid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")),
@@ -313,20 +318,40 @@ def groups(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> Data
     least = named.groupBy("root").agg(F.min("rep").alias("least"))
     of = named.join(least, "root").select("cid", "least")
     out = f.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("cid")).alias("cid")).join(of, "cid", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id")).withColumn(
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"), "cid").withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _class_names(texts: DataFrame) -> DataFrame:
+    """(doc_id, text) with the cid of each text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cid = [_name(shingles(text)) for text in b.column("text").to_pylist()]
+            yield pa.record_batch([b.column("doc_id"), b.column("text"), pa.array(cid, pa.int64())], names=["doc_id", "text", "cid"])
+
+    return texts.mapInArrow(run, "doc_id long, text string, cid long")
+
+
 def dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row of each group of near copies, the one of the smallest doc_id.
 
     Of rows that repeat both doc_id and text, one stays; rows without words all stay.
+    Rows that repeat a doc_id with different texts stay or go each by its own text.
     """
-    g = groups(docs, percent)
-    drop = written(g.filter(~F.col("kept")).select("doc_id").distinct(), "near-drop")
-    if drop.count() <= BROADCAST_IDS:
-        drop = F.broadcast(drop)
-    kept = docs.join(drop, "doc_id", "left_anti")
+    g = written(_grouped(docs, percent, SHINGLE).select("doc_id", "cid", "kept"), "near-verdicts")
+    rejected = written(g.filter(~F.col("kept")).select("doc_id", "cid").distinct(), "near-drop")
+    ids = rejected.select("doc_id").distinct()
+    if rejected.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    # ids of which one text stays and another goes
+    mixed = written(g.filter("kept").join(ids, "doc_id", "left_semi").select("doc_id").distinct(), "near-mixed")
+    if not mixed.take(1):
+        kept = docs.join(ids, "doc_id", "left_anti")
+    else:
+        some = docs.join(mixed, "doc_id", "left_semi")
+        texts = some.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).distinct()
+        gone = _class_names(texts).join(rejected, ["doc_id", "cid"], "left_semi").select("doc_id", "text")
+        kept = docs.join(ids, "doc_id", "left_anti").unionByName(some.join(gone, ["doc_id", "text"], "left_anti").select(*docs.columns))
     twice = written(kept.filter(F.col("text").rlike(r"[^\x20\x09-\x0D]")).groupBy("doc_id").count().filter("count > 1").select("doc_id"), "near-twice")
     if not twice.take(1):
         return kept
