@@ -93,8 +93,22 @@ def categorical_view_stages(num, cat):
     return [T.MedianImputer(num), T.FillMissingStage(cat), idx, asm]
 
 
+class CategoricalGBT(T.Estimator):
+    """GBT with a bin for every level of its widest nominal feature, 64 at least
+    (MLlib stops at a category with more levels than bins)."""
+
+    def __init__(self, **gbt_kw):
+        super().__init__()
+        self.gbt_kw = gbt_kw
+
+    def _fit(self, df):
+        nominal = df.schema["features"].metadata["ml_attr"]["attrs"].get("nominal", [])
+        levels = max((len(a["vals"]) if "vals" in a else a.get("num_vals", 0) for a in nominal), default=0)
+        return gbt(**{"max_bins": max(64, levels), **self.gbt_kw}).fit(df)
+
+
 def gbt_categorical_pipeline(num, cat, **kw) -> Pipeline:
-    return Pipeline(stages=[*categorical_view_stages(num, cat), gbt(**kw)])
+    return Pipeline(stages=[*categorical_view_stages(num, cat), CategoricalGBT(**kw)])
 
 
 class RandomFourierFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
