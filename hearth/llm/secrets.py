@@ -3,7 +3,8 @@
 Rules find assigned values, access keys and long hexadecimal runs.  Other strings
 of key characters are scored by two character Markov models, one of random strings
 and one of ordinary identifiers: a string whose log-likelihood ratio is high enough
-is reported as well.  The models are trained here from labelled samples: random
+is reported as well, and if the whole is not random enough, the high-scoring segments in
+it: keys joined to ordinary text.  The models are trained here from labelled samples: random
 strings spelled from SHA-256 digests, and words of the corpus joined the way
 identifiers are.  They are two tables of bigram counts over a fixed alphabet, the
 only thing that reaches the driver.
@@ -25,7 +26,8 @@ HEX = r"[0-9a-f]+"
 RULES = (("assign", ASSIGN, 2, 6), ("access", ACCESS, 0, 20), ("hex", HEX, 0, 24))
 
 #: Strings that the Markov models judge, and their alphabet.
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+MIN_LENGTH = 20
+CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{MIN_LENGTH},}}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Training sample: documents (those of the smallest hashes) and random strings of each spelling.
 SAMPLE_DOCS = 400
@@ -135,25 +137,80 @@ def score(string: Column, ratios: Column) -> Column:
     return F.aggregate(codes, start, step)["sum"]
 
 
+def segments(string: Column, ratios: Column) -> Column:
+    """Segments (s, e, sum) of ``string`` whose bigrams' ratios sum to ``MIN_RATIO``: from where the sum
+    rises above 0 to its peak, ended where it falls to 0 or by ``MIN_RATIO`` from the peak."""
+    n = len(ALPHABET)
+    codes = F.transform(F.sequence(F.lit(1), F.length(string)),
+                        lambda i: F.position(F.substring(string, i, F.lit(1)), F.lit(ALPHABET)))
+    none = F.array().cast("array<struct<s:int,e:int,sum:double>>")
+    start = F.struct(F.lit(0).alias("p"), F.lit(0).alias("i"), F.lit(0.0).alias("sum"), F.lit(0).alias("at"),
+                     F.lit(0.0).alias("best"), F.lit(0).alias("s"), F.lit(0).alias("e"), none.alias("out"))
+
+    def found(a: Column) -> Column:
+        seg = F.array(F.struct(a["s"].alias("s"), a["e"].alias("e"), a["best"].alias("sum")))
+        return F.when(a["best"] >= MIN_RATIO, F.concat(a["out"], seg)).otherwise(a["out"])
+
+    def step(acc: Column, c: Column) -> Column:
+        r = F.when(acc["p"] > 0, F.element_at(ratios, (acc["p"] - 1) * n + c)).otherwise(F.lit(0.0))
+        on = acc["sum"] > 0
+        grown = F.struct((F.when(on, acc["sum"]).otherwise(F.lit(0.0)) + r).alias("sum"),
+                         F.when(on, acc["at"]).otherwise(F.greatest(acc["i"] - 1, F.lit(0))).alias("at"))
+
+        def peak(g: Column) -> Column:
+            top = g["sum"] > acc["best"]
+            ends = (g["sum"] <= 0) | (g["sum"] <= acc["best"] - MIN_RATIO)
+            zero = F.lit(0.0)
+            return F.struct(
+                c.alias("p"), (acc["i"] + 1).alias("i"), F.when(ends, zero).otherwise(g["sum"]).alias("sum"), g["at"].alias("at"),
+                F.when(ends, zero).when(top, g["sum"]).otherwise(acc["best"]).alias("best"),
+                F.when(top, g["at"]).otherwise(acc["s"]).alias("s"), F.when(top, acc["i"] + 1).otherwise(acc["e"]).alias("e"),
+                F.when(ends, found(acc)).otherwise(acc["out"]).alias("out"))
+        return let(grown, peak)
+
+    return F.aggregate(codes, start, step, found)
+
+
+def pieces(string: Column, ratios: Column) -> Column:
+    """Places (s, e) of random-looking pieces of ``string``: segments, with edges at separators."""
+    dense = F.filter(segments(string, ratios), lambda g: g["sum"] >= MIN_MEAN_RATIO * (g["e"] - g["s"] - 1))
+
+    def edges(g: Column) -> Column:
+        """A piece that the segment cuts is taken whole, or left out if the segment has three characters of it at most."""
+        inside = F.substring(string, g["s"] + 1, g["e"] - g["s"])
+        back = F.length(F.regexp_extract(F.substring(string, F.lit(1), g["s"]), "[^/_=-]*$", 0))
+        ahead = F.length(F.regexp_extract(F.substring(string, g["e"] + 1, F.length(string)), "^[^/_=-]*", 0))
+        head = F.length(F.regexp_extract(inside, "^[^/_=-]{0,3}[/_=-]", 0))
+        tail = F.length(F.regexp_extract(inside, "[/_=-][^/_=-]{0,3}$", 0))
+        return F.struct((g["s"] + F.when((back > 0) & (head > 0), head).otherwise(-back)).alias("s"),
+                        (g["e"] - F.when((ahead > 0) & (tail > 0), tail).otherwise(-ahead)).alias("e"))
+
+    wide = F.transform(dense, edges)
+    return F.array_distinct(F.filter(wide, lambda g: g["e"] - g["s"] >= MIN_LENGTH))
+
+
 def markov_spans(text: Column, base: Column, ratios: Column) -> Column:
     """Spans of random-looking strings that no rule has found."""
+    whole = F.array(F.struct(F.lit(0).alias("s"), F.lit(None).cast("int").alias("e")))
+
     def random(m: Column) -> Column:
-        return let(score(m, ratios), lambda x: (x >= MIN_RATIO) & (x >= MIN_MEAN_RATIO * (F.length(m) - 1)))
+        return let(score(m, ratios), lambda x: F.when(
+            (x >= MIN_RATIO) & (x >= MIN_MEAN_RATIO * (F.length(m) - 1)), whole).otherwise(pieces(m, ratios)))
 
     none = F.array().cast(SPAN)
     flags = F.transform(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), random)
 
     def spans(good: Column) -> Column:
-        pairs = F.zip_with(matches(text, CANDIDATE, "markov", len(RULES)), good,
-                           lambda s, g: F.struct(s.alias("s"), g.alias("g")))
-        return F.transform(F.filter(pairs, lambda p: p["g"]), lambda p: p["s"])
+        return F.flatten(F.zip_with(
+            matches(text, CANDIDATE, "markov", len(RULES)), good, lambda s, g: F.transform(g, lambda p: F.struct(
+                (s["s"] + p["s"]).alias("s"), s["k"].alias("k"), F.coalesce(s["s"] + p["e"], s["e"]).alias("e"), s["kind"].alias("kind")))))
 
     def new(found: Column) -> Column:
         return let(base, lambda b: F.filter(found, lambda s: ~F.exists(
             b, lambda o: (o["s"] < s["e"]) & (s["s"] < o["e"]))))
 
     return F.when(text.rlike(CANDIDATE), let(flags, lambda g: F.when(
-        F.exists(g, lambda x: x), let(spans(g), new)).otherwise(none))).otherwise(none)
+        F.exists(g, lambda x: F.size(x) > 0), let(spans(g), new)).otherwise(none))).otherwise(none)
 
 
 def scan(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
