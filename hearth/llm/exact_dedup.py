@@ -29,7 +29,6 @@ from hearth.session import scratch_path
 
 #: The characters that do not count when texts are compared.
 BLANKS = " \t\n\x0b\x0c\r"
-BUCKETS = 64
 
 
 def digest(text: Column) -> Column:
@@ -52,8 +51,13 @@ class DigestIndex:
     id_type: str
 
     @classmethod
-    def create(cls, spark: SparkSession, path: str, id_type: str = "bigint", buckets: int = BUCKETS) -> DigestIndex:
-        """An empty index under ``path``; ``buckets`` should grow with the texts expected (about 128 MB a bucket)."""
+    def create(cls, spark: SparkSession, path: str, id_type: str = "bigint", buckets: int | None = None) -> DigestIndex:
+        """An empty index under ``path``.
+
+        ``buckets`` should grow with the texts expected (about 128 MB a bucket).  The default is the session's number
+        of shuffle partitions: then the exchange of a delivery meets the buckets, one task a bucket.
+        """
+        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         meta = spark.range(1).select(F.lit(buckets).alias("buckets"), F.lit(id_type).alias("id_type"))
         meta.coalesce(1).write.parquet(f"{path}/meta")
         return cls.open(spark, path)
@@ -161,7 +165,7 @@ def report(index: DigestIndex, rows: DataFrame) -> DataFrame:
 DELIVERY_ROWS = 1 << 60
 
 
-def audit(docs: DataFrame, deliveries: int = 2, buckets: int = BUCKETS) -> DataFrame:
+def audit(docs: DataFrame, deliveries: int = 2, buckets: int | None = None) -> DataFrame:
     """Every row of ``docs`` with the row that stays of its group: doc_id, keep_id, group_size, kept, text_sha256.
 
     The table comes to a fresh index in ``deliveries`` parts (at most 7) by a hash of the row's id, as new data
