@@ -212,7 +212,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int =
     Both tables are (id, v) as ``integer_vectors`` makes them.  A candidate with the
     query's own id is left out; with fewer candidates than k, all are returned; no
     queries or no candidates give no rows.  Vectors of other lengths end in zeros.
-    Scores beyond the range of a long stop at its ends.
+    Scores beyond the range of a long stop at its ends.  A query id that occurs with
+    several vectors is answered once for each: k rows of ranks 1 to k per vector.
     """
     index = written(build_index(vectors, shard_rows), "ball-index")
     shards = (index.agg(F.max("shard")).first()[0] or 0) + 1
@@ -220,7 +221,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int =
 
     def block(key, pdf):
         import pandas as pd
-        pdf = pdf.sort_values("id", kind="stable")
+        # a query is known by its block and its place there: an id may come with several vectors
+        pdf = pdf.assign(t=pdf["v"].map(tuple)).sort_values(["id", "t"], kind="stable")
         return pd.DataFrame({"block": [key[0]], "queries": [_pack({"q": _narrow(_matrix(list(pdf["v"]))), "ids": pdf["id"].to_numpy(np.int64)})]})
 
     blocks = written(queries.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks_n))).groupBy("block").applyInPandas(
@@ -232,8 +234,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int =
         def result() -> pa.RecordBatch:
             n = len(q["ids"])
             return pa.record_batch([
-                pa.array(np.full(n, unit[0])), pa.array(q["ids"]), pa.array(best.score.tolist(), pa.list_(pa.int64())),
-                pa.array(best.id.tolist(), pa.list_(pa.int64()))], names=["block", "query_id", "scores", "ids"])
+                pa.array(np.full(n, unit[0])), pa.array(np.arange(n, dtype=np.int32)), pa.array(q["ids"]),
+                pa.array(best.score.tolist(), pa.list_(pa.int64())), pa.array(best.id.tolist(), pa.list_(pa.int64()))],
+                names=["block", "place", "query_id", "scores", "ids"])
 
         for batch in batches:
             for i in range(batch.num_rows):
@@ -244,14 +247,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int =
                     unit, q = (r["block"], r["run"]), _unpack(r["queries"])
                     best = Best(len(q["ids"]), k)
                     if r["bars"] is not None:  # a bar from another shard: its holders come back in the final choice
-                        known = dict(r["bars"]) if not isinstance(r["bars"], dict) else r["bars"]
-                        bar = np.array([known.get(x, NO_SCORE) for x in q["ids"].tolist()])
-                        best.score[:] = bar[:, None]
+                        best.score[:] = np.array(r["bars"])[:, None]
                 search(_unpack(r["tree"]), q["q"], q["ids"], best)
         if unit is not None:
             yield result()
 
-    schema = "block long, query_id long, scores array<bigint>, ids array<bigint>"
+    schema = "block long, place int, query_id long, scores array<bigint>, ids array<bigint>"
 
     runs = -(-shards // RUN_SHARDS)
 
@@ -262,17 +263,17 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int =
 
     home = F.pmod("block", F.lit(shards))
     seeds = blocks.select("block", home.alias("shard"), F.lit(-1).cast("long").alias("run"),
-                          F.lit(None).cast("map<bigint,bigint>").alias("bars"))
+                          F.lit(None).cast("array<bigint>").alias("bars"))
     first = written(units(seeds, blocks_n), "ball-first")
-    bars = first.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct(
-        F.col("query_id"), F.element_at("scores", -1)))).alias("bars"))  # one entry per query of a block
+    own = F.array_sort(F.collect_list(F.struct("place", F.element_at("scores", -1).alias("bar"))))
+    bars = first.groupBy("block").agg(own.alias("own")).select("block", F.col("own.bar").alias("bars"))  # in order of place
     rest = (blocks.select("block", home.alias("home"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
             .filter("shard <> home").select("block", F.col("shard").cast("long").alias("shard"),
                                             F.floor(F.col("shard") / RUN_SHARDS).cast("long").alias("run")))
     found = first.union(units(rest.join(bars, "block", "left"), blocks_n * runs))
-    best = found.select("query_id", F.explode(F.arrays_zip("scores", "ids")).alias("e")).select(
-        "query_id", F.col("e.scores").alias("score"), F.col("e.ids").alias("vec_id")).filter(
+    best = found.select("block", "place", "query_id", F.explode(F.arrays_zip("scores", "ids")).alias("e")).select(
+        "block", "place", "query_id", F.col("e.scores").alias("score"), F.col("e.ids").alias("vec_id")).filter(
         F.col("vec_id") != NO_ID)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("block", "place").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
