@@ -23,8 +23,11 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections import Counter
+from collections.abc import Generator, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,9 +56,10 @@ NEUTRAL_WORDS = frozenset("""area bar block body bottom box button buttons colum
 TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dl dt dd span a b i em strong".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>", re.S)
+# possessive throughout, and attributes are tried at the start of a name only: time linear in what is read
+_TAG = re.compile(r"""</?[a-zA-Z][^\s/>]*+(?:[^>"']++|"[^"]*+"|'[^']*+')*+>""")
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
-_ATTR = re.compile(r"""([^\s=/>"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+_ATTR = re.compile(r"""(?<![^\s=/>"'])([^\s=/>"']++)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))""")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _SPACE = re.compile(r"\s+")
 #: Elements that a start tag of these closes.
@@ -112,10 +116,72 @@ def _state(tag: str, raw: str, state: int) -> int:
     return state
 
 
+def _ends(source: str) -> tuple[list[int], list[int]]:
+    """Places of all quotes and closing angles, and for each the end of a tag whose inside it is the next of (-1: none)."""
+    at = [m.start() for m in re.finditer("[>\"']", source)]
+    end = [-1] * (len(at) + 1)
+    following = {'"': len(at), "'": len(at)}  # the next quote of each kind
+    for k in range(len(at) - 1, -1, -1):
+        c = source[at[k]]
+        if c == ">":
+            end[k] = at[k] + 1
+        else:
+            close = following[c]
+            end[k] = end[close + 1] if close < len(at) else -1
+            following[c] = k
+    return at, end
+
+
+def tokens(source: str) -> Generator[tuple[int, int], int, None]:
+    """(start, end) of every comment, declaration and tag, in order; what begins like one and never ends is text.
+
+    Linear in the page: a tag that cannot be read at once is looked up in a table made in one pass.
+    """
+    at, n = 0, len(source)
+    last = source.rfind(">")
+    table: tuple[list[int], list[int]] | None = None
+    while True:
+        at = source.find("<" if at <= last else "<!--", at)
+        if at < 0:
+            return
+        after = source[at + 1:at + 2]
+        end = -1
+        if source.startswith("<!--", at):
+            close = source.find("-->", at + 4)
+            end = n if close < 0 else close + 3
+        elif at > last:
+            pass
+        elif after in ("!", "?"):
+            end = source.find(">", at + 2) + 1 or -1
+        elif name := _NAME.match(source, at):
+            if table is None:
+                whole = _TAG.match(source, at)
+                end = whole.end() if whole else -1
+                if not whole:
+                    table = _ends(source)
+            else:
+                k = bisect_left(table[0], name.end())
+                end = table[1][k]
+        if end < 0:
+            at += 1
+            continue
+        got = yield at, end
+        at = end if got is None else got
+
+
+def _send(found: Generator[tuple[int, int], int, None], at: int) -> tuple[int, int] | None:
+    """The next token from ``at`` on."""
+    try:
+        return found.send(at)
+    except StopIteration:
+        return None
+
+
 def page_lines(source: str) -> list[tuple[str, bool, bool]]:
     """(text, in furniture, in an article) of every block of a page, in page order."""
     out: list[tuple[str, bool, bool]] = []
     open_: list[tuple[str, int]] = [("", 0)]  # tags and the states inside them
+    n_open: Counter[str] = Counter()
     text: list[str] = []
 
     def flush() -> None:
@@ -126,80 +192,121 @@ def page_lines(source: str) -> list[tuple[str, bool, bool]]:
             out.append((line, state & (FURNITURE | NAMED | SOFT) > 0, state & ARTICLE > 0))
 
     at, n = 0, len(source)
-    while at < n:
-        m = _TOKEN.search(source, at)
-        text.append(source[at:m.start() if m else n])
-        if not m:
-            break
-        at = m.end()
-        raw = m[0]
-        if raw[1] in "!?":
-            continue
-        tag = _NAME.match(raw)[1].lower()
-        if tag in BLOCKS:
-            flush()
-        if raw[1] == "/":
-            for i in range(len(open_) - 1, -1, -1):
-                if open_[i][0] == tag:
-                    del open_[i:]
+    last = source.rfind(">")
+    found = tokens(source)
+    token = next(found, None)
+    while token is not None:
+        start, end = token
+        text.append(source[at:start])
+        at = end
+        raw = source[start:end]
+        token = None
+        if raw[1] not in "!?":
+            tag = _NAME.match(raw)[1].lower()
+            if tag in BLOCKS:
+                flush()
+            if raw[1] == "/":
+                if n_open[tag]:
+                    while open_[-1][0] != tag:
+                        n_open[open_.pop()[0]] -= 1
+                    n_open[open_.pop()[0]] -= 1
+            elif tag in RAW and not raw.endswith("/>"):
+                close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, at) if at <= last else None
+                at = close.end() if close else n
+                token = _send(found, at)
+                if token is None:
                     break
-            continue
-        if tag in RAW and not raw.endswith("/>"):
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, at)
-            at = end.end() if end else n
-            continue
-        if tag in VOID or raw.endswith("/>"):
-            continue
-        ends = _CLOSED_BY.get(tag)
-        if ends and open_[-1][0] in ends:
-            open_.pop()
-        open_.append((tag, _state(tag, raw, open_[-1][1])))
+                continue
+            elif tag not in VOID and not raw.endswith("/>"):
+                ends = _CLOSED_BY.get(tag)
+                if ends and open_[-1][0] in ends:
+                    n_open[open_.pop()[0]] -= 1
+                open_.append((tag, _state(tag, raw, open_[-1][1])))
+                n_open[tag] += 1
+        token = next(found, None)
+    text.append(source[at:])
     flush()
     return out
 
 
-def shared_lines(a: list[str], b: list[str]) -> set[int]:
-    """Places in ``a`` of the lines on a longest common subsequence with ``b``.
+#: Rows of the alignment's dynamic program are kept where they take this many bits at most; longer pages are halved first.
+ALIGN_BITS = 1 << 26
 
-    Bit-parallel: one row of the dynamic program is one integer, and rows are kept to
-    walk back.
-    """
-    same = 0
-    while same < min(len(a), len(b)) and a[same] == b[same]:
-        same += 1
-    end = 0
-    while end < min(len(a), len(b)) - same and a[-1 - end] == b[-1 - end]:
-        end += 1
-    out = set(range(same)) | set(range(len(a) - end, len(a)))
-    x, y = a[same:len(a) - end], b[same:len(b) - end]
+
+def _row(x: list[str], y: list[str]) -> list[int]:
+    """Rows of the dynamic program of ``x`` (down) and ``y``, one integer each: zeros among the low j bits count."""
     places: dict[str, int] = {}
     for j, line in enumerate(y):
         places[line] = places.get(line, 0) | 1 << j
     full = (1 << len(y)) - 1
     rows, v = [full], full
+    keep = len(x) * len(y) <= ALIGN_BITS
     for line in x:
         u = v & places.get(line, 0)
         v = ((v + u) | (v - u)) & full
-        rows.append(v)
-    i, j = len(x), len(y)
-
-    def length(i: int, j: int) -> int:  # zeros among the low j bits
-        return j - (rows[i] & ((1 << j) - 1)).bit_count()
-
-    while i and j:
-        if x[i - 1] == y[j - 1]:
-            out.add(same + i - 1)
-            i, j = i - 1, j - 1
-        elif length(i - 1, j) >= length(i, j - 1):
-            i -= 1
-        else:
-            j -= 1
+        if keep:
+            rows.append(v)
+    return rows if keep else [v]
+
+
+def _lengths(row: int, n: int) -> np.ndarray:
+    """Length of the common subsequence with each prefix, from none to all ``n`` lines."""
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(n // 8 + 1, "little"), np.uint8), bitorder="little")[:n]
+    return np.concatenate([[0], np.cumsum(1 - bits.astype(np.int64))])
+
+
+def shared_lines(a: list[str], b: list[str]) -> set[int]:
+    """Places in ``a`` of the lines on a longest common subsequence with ``b``.
+
+    Bit-parallel: one row of the dynamic program is one integer.  Rows are kept to walk back; where they
+    would take more than ``ALIGN_BITS``, ``a`` is halved where the two halves' subsequences add up to the longest.
+    """
+    out: set[int] = set()
+    work = [(0, len(a), 0, len(b))]
+    while work:
+        lo, hi, down, up = work.pop()
+        while lo < hi and down < up and a[lo] == b[down]:
+            out.add(lo)
+            lo, down = lo + 1, down + 1
+        while lo < hi and down < up and a[hi - 1] == b[up - 1]:
+            hi, up = hi - 1, up - 1
+            out.add(hi)
+        x, y = a[lo:hi], b[down:up]
+        if not x or not y:
+            continue
+        if len(x) > 1 and len(x) * len(y) > ALIGN_BITS:
+            mid, n = len(x) // 2, len(y)
+            head = _lengths(_row(x[:mid], y)[-1], n)
+            tail = _lengths(_row(x[mid:][::-1], y[::-1])[-1], n)
+            cut = int(np.argmax(head + tail[::-1]))
+            work += [(lo, lo + mid, down, down + cut), (lo + mid, hi, down + cut, up)]
+            continue
+        rows = _row(x, y)
+        i, j = len(x), len(y)
+        if len(rows) == 1:  # one line against very many
+            if x[0] in set(y):
+                out.add(lo)
+            continue
+
+        def length(i: int, j: int) -> int:  # zeros among the low j bits
+            return j - (rows[i] & ((1 << j) - 1)).bit_count()
+
+        while i and j:
+            if x[i - 1] == y[j - 1]:
+                out.add(lo + i - 1)
+                i, j = i - 1, j - 1
+            elif length(i - 1, j) >= length(i, j - 1):
+                i -= 1
+            else:
+                j -= 1
     return out
 
 
-def main_text(lines: list[tuple[str, bool, bool]], near: list[tuple[str, bool, bool]] | None) -> str:
-    """The page's own lines: those that ``near`` does not share, then the check on the markup."""
-    gone = shared_lines([x[0] for x in lines], [x[0] for x in near]) if near else set()
+def main_text(lines: list[tuple[str, bool, bool]], near: list[tuple[str, bool, bool]] | None,
+              gone: set[int] | None = None) -> str:
+    """The page's own lines: those that ``near`` does not share (``gone``, if known), then the check on the markup."""
+    if gone is None:
+        gone = shared_lines([x[0] for x in lines], [x[0] for x in near]) if near else set()
     kept = []
     for i, (line, furniture, article) in enumerate(lines):
         # an article is whole though its copies share it
@@ -248,9 +355,9 @@ def extract(pages: DataFrame) -> DataFrame:
             pid, url, h, p, lines = page
             near = [x for x in (before, after) if x is not None and h and x[2] == h]
             other = max(near, key=lambda x: _common(p, x[3]))[4] if near else None  # the earlier one if both are as near
-            text = main_text(lines, other)
-            shared = len(shared_lines([x[0] for x in lines], [x[0] for x in other])) if other else 0
-            return pid, url, text, len(text), shared
+            gone = shared_lines([x[0] for x in lines], [x[0] for x in other]) if other else set()
+            text = main_text(lines, other, gone)
+            return pid, url, text, len(text), len(gone)
 
         out: list[tuple] = []
         before = page = None
