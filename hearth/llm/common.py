@@ -38,6 +38,46 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+#: Arrays that grow in an accumulator are kept in runs of this length: a growing array is copied at each step.
+RUN = 256
+
+
+def running(values: Column, combine: Callable[[Column, Column], Column], zero: int) -> Column:
+    """Running totals of an array of bigint under ``combine``, each with its own element included.
+
+    Totals run inside runs of ``RUN`` elements, and over the runs, so that no long array is copied once per element.
+    """
+    def totals(a: Column, with_own: bool) -> Column:
+        start = F.struct(F.lit(zero).cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("out"))
+
+        def step(acc: Column, x: Column) -> Column:
+            return let(combine(acc["at"], x), lambda y: F.struct(
+                y.alias("at"), F.concat(acc["out"], F.array(y if with_own else acc["at"])).alias("out")))
+        return F.aggregate(a, start, step)["out"]
+
+    def joined(runs: Column) -> Column:
+        before = totals(F.transform(runs, lambda r: F.element_at(r, -1)), False)
+        return F.flatten(F.zip_with(runs, before, lambda r, b: F.transform(r, lambda x: combine(x, b))))
+
+    def cut(a: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(a) - 1) / RUN).cast("int")),
+                           lambda k: totals(F.slice(a, k * RUN + 1, RUN), True))
+        return let(runs, joined)
+
+    return let(F.transform(values, lambda x: x.cast("bigint")),
+               lambda a: F.when(F.size(a) > 0, cut(a)).otherwise(F.array().cast("array<bigint>")))
+
+
+def prefix_sums(values: Column) -> Column:
+    """Running sums of an array of integers."""
+    return running(values, lambda a, b: a + b, 0)
+
+
+def prefix_maxima(values: Column) -> Column:
+    """Running maxima of an array of integers."""
+    return running(values, F.greatest, -(1 << 62))
+
+
 def word_count(text: Column) -> Column:
     """Number of words as long, without building them (null: 0)."""
     t = F.coalesce(text, F.lit(""))

@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import WORD, let
+from hearth.llm.common import RUN, WORD, let, prefix_maxima, prefix_sums
 
 #: Fixed rules: kind, pattern, group that is measured, its least length.  Either case means ASCII letters.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -45,22 +45,17 @@ def matches(text: Column, pattern: str, kind: str, order: int, group: int = 0, l
     The pieces between matches and the matches themselves give the places: both are
     summed up (code points).
     """
-    between = F.split(text, pattern, -1)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(SPAN).alias("out"))
 
-    def step(acc: Column, m: Column) -> Column:
-        s = acc["at"] + m["gap"]
-        e = s + F.length(m["m"])
-        size = F.length(F.regexp_extract(m["m"], pattern, group)) if group else F.length(m["m"])
-        span = F.struct(s.cast("bigint").alias("s"), F.lit(order).alias("k"), e.cast("bigint").alias("e"), F.lit(kind).alias("kind"))
-        return F.struct(e.cast("bigint").alias("at"),
-                        F.when(size >= least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+    def spans(m: Column) -> Column:
+        gaps = F.transform(F.slice(F.split(text, pattern, -1), 1, F.size(m)), lambda x: F.length(x))
+        ends = prefix_sums(F.zip_with(gaps, m, lambda gap, x: gap + F.length(x)))
+        size = (lambda x: F.length(F.regexp_extract(x, pattern, group))) if group else F.length
+        all_ = F.zip_with(m, ends, lambda x, e: F.when(size(x) >= least, F.struct(
+            (e - F.length(x)).cast("bigint").alias("s"), F.lit(order).alias("k"), e.cast("bigint").alias("e"), F.lit(kind).alias("kind"))))
+        return F.array_compact(all_)
 
-    steps = F.zip_with(F.transform(F.slice(between, 1, F.size(found)), lambda x: F.length(x)), found,
-                       lambda gap, m: F.struct(gap.alias("gap"), m.alias("m")))
-    spans = F.aggregate(steps, start, step)["out"]
-    return F.when(F.size(found) > 0, spans).otherwise(F.array().cast(SPAN))
+    return let(found, lambda m: F.when(F.size(m) > 0, spans(m)).otherwise(F.array().cast(SPAN)))
 
 
 def base_spans(text: Column) -> Column:
@@ -144,12 +139,16 @@ def segments(string: Column, ratios: Column) -> Column:
     codes = F.transform(F.sequence(F.lit(1), F.length(string)),
                         lambda i: F.position(F.substring(string, i, F.lit(1)), F.lit(ALPHABET)))
     none = F.array().cast("array<struct<s:int,e:int,sum:double>>")
+    no_runs = F.array().cast("array<array<struct<s:int,e:int,sum:double>>>")
     start = F.struct(F.lit(0).alias("p"), F.lit(0).alias("i"), F.lit(0.0).alias("sum"), F.lit(0).alias("at"),
-                     F.lit(0.0).alias("best"), F.lit(0).alias("s"), F.lit(0).alias("e"), none.alias("out"))
+                     F.lit(0.0).alias("best"), F.lit(0).alias("s"), F.lit(0).alias("e"), none.alias("out"), no_runs.alias("runs"))
 
-    def found(a: Column) -> Column:
+    def found(a: Column) -> Column:  # the run that is being filled
         seg = F.array(F.struct(a["s"].alias("s"), a["e"].alias("e"), a["best"].alias("sum")))
-        return F.when(a["best"] >= MIN_RATIO, F.concat(a["out"], seg)).otherwise(a["out"])
+        return F.when(a["best"] >= MIN_RATIO, F.when(F.size(a["out"]) < RUN, F.concat(a["out"], seg)).otherwise(seg)).otherwise(a["out"])
+
+    def full(a: Column) -> Column:  # the runs that are
+        return F.when((a["best"] >= MIN_RATIO) & (F.size(a["out"]) >= RUN), F.concat(a["runs"], F.array(a["out"]))).otherwise(a["runs"])
 
     def step(acc: Column, c: Column) -> Column:
         r = F.when(acc["p"] > 0, F.element_at(ratios, (acc["p"] - 1) * n + c)).otherwise(F.lit(0.0))
@@ -165,10 +164,10 @@ def segments(string: Column, ratios: Column) -> Column:
                 c.alias("p"), (acc["i"] + 1).alias("i"), F.when(ends, zero).otherwise(g["sum"]).alias("sum"), g["at"].alias("at"),
                 F.when(ends, zero).when(top, g["sum"]).otherwise(acc["best"]).alias("best"),
                 F.when(top, g["at"]).otherwise(acc["s"]).alias("s"), F.when(top, acc["i"] + 1).otherwise(acc["e"]).alias("e"),
-                F.when(ends, found(acc)).otherwise(acc["out"]).alias("out"))
+                F.when(ends, found(acc)).otherwise(acc["out"]).alias("out"), F.when(ends, full(acc)).otherwise(acc["runs"]).alias("runs"))
         return let(grown, peak)
 
-    return F.aggregate(codes, start, step, found)
+    return F.aggregate(codes, start, step, lambda a: F.flatten(F.concat(full(a), F.array(found(a)))))
 
 
 def pieces(string: Column, ratios: Column) -> Column:
@@ -189,6 +188,25 @@ def pieces(string: Column, ratios: Column) -> Column:
     return F.array_distinct(F.filter(wide, lambda g: g["e"] - g["s"] >= MIN_LENGTH))
 
 
+def _apart(found: Column, base: Column) -> Column:
+    """The spans of ``found`` that overlap none of ``base``: in order of the starts, no base span before one reaches
+    into it, and the next base span does not begin inside it."""
+    low = -(1 << 62)
+
+    def tagged(spans: Column, own: bool) -> Column:
+        return F.transform(spans, lambda s: F.struct(s["s"].alias("s"), F.lit(own).alias("own"), s.alias("x")))
+
+    def clear(merged: Column) -> Column:
+        reach = prefix_maxima(F.transform(merged, lambda m: F.when(m["own"], F.lit(low)).otherwise(m["x"]["e"])))
+        following = F.reverse(prefix_maxima(F.reverse(F.transform(
+            merged, lambda m: F.when(m["own"], F.lit(low)).otherwise(-m["x"]["s"])))))
+        seen = F.zip_with(merged, F.arrays_zip(reach.alias("reach"), following.alias("following")), lambda m, p: F.when(
+            m["own"] & (p["reach"] <= m["x"]["s"]) & (-p["following"] >= m["x"]["e"]), m["x"]))
+        return F.array_compact(seen)
+
+    return let(F.sort_array(F.concat(tagged(found, True), tagged(base, False))), clear)
+
+
 def markov_spans(text: Column, base: Column, ratios: Column) -> Column:
     """Spans of random-looking strings that no rule has found."""
     whole = F.array(F.struct(F.lit(0).alias("s"), F.lit(None).cast("int").alias("e")))
@@ -206,22 +224,22 @@ def markov_spans(text: Column, base: Column, ratios: Column) -> Column:
                 (s["s"] + p["s"]).alias("s"), s["k"].alias("k"), F.coalesce(s["s"] + p["e"], s["e"]).alias("e"), s["kind"].alias("kind")))))
 
     def new(found: Column) -> Column:
-        return let(base, lambda b: F.filter(found, lambda s: ~F.exists(
-            b, lambda o: (o["s"] < s["e"]) & (s["s"] < o["e"]))))
+        return F.when(F.size(base) == 0, found).otherwise(_apart(found, base))
 
     return F.when(text.rlike(CANDIDATE), let(flags, lambda g: F.when(
         F.exists(g, lambda x: F.size(x) > 0), let(spans(g), new)).otherwise(none))).otherwise(none)
 
 
 def scan(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """``docs`` with ``base`` and ``spans`` added: arrays of (s, k, e, kind), by start, then kind.
+    """(row, base, spans) of every row of ``docs``: the row as one struct, and arrays of (s, k, e, kind), by start, then kind.
 
-    Places are code points, ends exclusive.  Null text is empty; every row is kept;
-    columns of those names are replaced.
+    Places are code points, ends exclusive.  Null text is empty; every row is kept, and
+    columns of any name may stand in it.
     """
     ratios = F.array(*[F.lit(x) for x in train(training_sample(docs, sample_docs))])
-    t = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    found = docs.drop("base", "spans").withColumn("base", base_spans(t))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    t = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
+    found = rows.withColumn("base", base_spans(t))
     return found.withColumn("spans", F.sort_array(F.concat("base", markov_spans(t, F.col("base"), ratios))))
 
 
@@ -232,28 +250,60 @@ def report(docs: DataFrame) -> DataFrame:
     def n(kind: str) -> Column:
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    return f.select("doc_id", n("assign"), n("access"), n("hex"),
+    return f.select("row.doc_id", n("assign"), n("access"), n("hex"),
                     F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
+#: Texts are cut from pieces of this many characters: a place far on in a long text is not searched from its start.
+PIECE = 4096
+
+
+def _cut(parts: Column, a: Column, b: Column) -> Column:
+    """Characters ``a`` to ``b`` (exclusive) of a text in pieces of ``PIECE``."""
+    def between(first: Column, last: Column) -> Column:
+        inner = F.array_join(F.slice(parts, first + 2, last - first - 1), "")
+        return F.concat(F.substring(F.get(parts, first), (a % PIECE + 1).cast("int"), F.lit(PIECE)), inner,
+                        F.coalesce(F.substring(F.get(parts, last), F.lit(1), (b % PIECE).cast("int")), F.lit("")))
+
+    first, last = F.floor(a / PIECE).cast("int"), F.floor(b / PIECE).cast("int")
+    return F.when(a >= b, F.lit("")).when(first == last, F.substring(
+        F.get(parts, first), (a % PIECE + 1).cast("int"), (b - a).cast("int"))).otherwise(between(first, last))
+
+
+def replaced(text: Column, spans: Column, mark: str) -> Column:
+    """``text`` with ``mark`` for every span; a span that starts inside the one before it joins it."""
+    # how far the spans before each one reach: a running maximum, as spans in order of their starts may lie in one another
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("out"),
+                     F.array().cast("array<array<bigint>>").alias("runs"))
+
+    def step(acc: Column, s: Column) -> Column:
+        room = F.size(acc["out"]) < RUN
+        return F.struct(F.greatest(acc["at"], s["e"]).alias("at"),
+                        F.when(room, F.concat(acc["out"], F.array(acc["at"]))).otherwise(F.array(acc["at"])).alias("out"),
+                        F.when(room, acc["runs"]).otherwise(F.concat(acc["runs"], F.array(acc["out"]))).alias("runs"))
+
+    reach = F.aggregate(spans, start, step, lambda a: F.struct(F.flatten(F.concat(a["runs"], F.array(a["out"]))).alias("before"), a["at"].alias("end")))
+    parts = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+    def build(p: Column) -> Column:
+        return let(reach, lambda r: F.concat(F.array_join(F.zip_with(spans, r["before"], lambda s, at: F.when(
+            s["s"] >= at, F.concat(_cut(p, at, s["s"]), F.lit(mark))).otherwise(F.lit(""))), ""),
+            _cut(p, r["end"], F.length(text).cast("bigint"))))
+
+    return let(parts, build)
+
+
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every found span replaced by ``mark`` and ``n_chars`` (if present) brought up to date.
 
-    Texts without a find, null ones too, stay as they are.
+    Texts without a find, null ones too, stay as they are, and so does every other column, whatever its name.
     """
     f = scan(docs)
-    t = F.col("text")
-    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
-
-    def step(acc: Column, s: Column) -> Column:  # a span that starts inside the one before it joins it
-        gap = F.substring(t, (acc["at"] + 1).cast("int"), (s["s"] - acc["at"]).cast("int"))
-        return F.when(s["s"] >= acc["at"], F.struct(F.concat(acc["out"], gap, F.lit(mark)).alias("out"), s["e"].alias("at"))).otherwise(
-            F.struct(acc["out"].alias("out"), F.greatest(acc["at"], s["e"]).alias("at")))
-
-    clean = let(F.aggregate("spans", start, step),
-                lambda a: F.concat(a["out"], F.substring(t, (a["at"] + 1).cast("int"), F.length(t))))
-    out = f.withColumn("text", F.when(F.size("spans") > 0, clean).otherwise(t))
+    found = F.size("spans") > 0
+    f = f.withColumn("clean", F.when(found, replaced(F.col("row.text"), F.col("spans"), mark)).otherwise(F.col("row.text")))
+    out = {c: F.col("row")[c].alias(c) for c in docs.columns}
+    out["text"] = F.col("clean").alias("text")
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
-                             .otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        out["n_chars"] = F.when(found, F.length("clean").cast(docs.schema["n_chars"].dataType)).otherwise(
+            F.col("row")["n_chars"]).alias("n_chars")
+    return f.select(*[out[c] for c in docs.columns])
