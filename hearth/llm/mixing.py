@@ -80,6 +80,17 @@ def copies(rate: Column, seed: int, *key: Column) -> Column:
     return (F.floor(rate) + F.when(u < rate - F.floor(rate), 1).otherwise(0)).cast("long")
 
 
+def _planned(docs: DataFrame, weights: Sequence[float], max_repeat: float, seed: int) -> DataFrame:
+    """(row, size, source_size, target, n_copies) of every row, the row as one struct."""
+    sized = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("source").alias("own_source"),
+                        F.col("doc_id").alias("key"), word_count(F.col("text")).alias("size"))
+    per_source = sized.groupBy(F.col("own_source").alias("source")).agg(F.sum("size").alias("source_size"))
+    targets = written(source_targets(per_source, weights, max_repeat), "mix-targets")
+    j = sized.join(targets, F.col("own_source").eqNullSafe(F.col("source")), "left")
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    return j.withColumn("n_copies", copies(rate, seed, F.col("key")))
+
+
 def mix_plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: float = MAX_REPEAT,
              seed: int = 17) -> DataFrame:
     """Rows of ``docs`` with size, source_size, target, n_copies and taken added.
@@ -87,23 +98,17 @@ def mix_plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: fl
     Sizes count words of whole texts (null text: 0).  A null source is a source of
     its own.  Every row is kept; repeated rows are decided alike; a source without
     words has target 0 and none of its rows is taken.  A seed fixes the result.
+    Columns of ``docs`` with the names of those added are replaced; ``mix`` keeps them.
     """
-    clash = {"size", "source_size", "target", "n_copies", "taken"} & {c.lower() for c in docs.columns}
-    sized = docs.drop(*clash).withColumn("size", word_count(F.col("text")))
-    per_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = written(source_targets(per_source, weights, max_repeat), "mix-targets")
-    t = targets.select(F.col("source").alias("_s"), "source_size", "target")
-    j = sized.join(t, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    # (columns of docs named like those added are replaced)
-    return (j.withColumn("n_copies", copies(rate, seed, F.col("doc_id")))
-            .withColumn("taken", F.col("size") * F.col("n_copies")))
+    plan = _planned(docs, weights, max_repeat, seed)
+    added = ("size", "source_size", "target", "n_copies")
+    own = [F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in (*added, "taken")]
+    return plan.select(*own, *added, (F.col("size") * F.col("n_copies")).alias("taken"))
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: float = MAX_REPEAT,
         seed: int = 17) -> DataFrame:
-    """The mixed documents: each row of ``docs`` as often as its source's rate asks."""
-    plan = mix_plan(docs, weights, max_repeat, seed)
-    cols = [c for c in docs.columns if c in plan.columns]
-    out = plan.filter(F.col("n_copies") > 0)
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("n_copies").cast("int")))).select(*cols)
+    """The mixed documents: each row of ``docs`` as often as its source's rate asks, with all its columns."""
+    plan = _planned(docs, weights, max_repeat, seed).filter(F.col("n_copies") > 0)
+    each = plan.select("row", F.explode(F.sequence(F.lit(1), F.col("n_copies").cast("int"))).alias("copy"))
+    return each.select(*[F.col("row")[c].alias(c) for c in docs.columns])
