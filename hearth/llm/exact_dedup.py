@@ -94,8 +94,10 @@ class DigestIndex:
         entries = self._entries()
         if not entries.filter(F.col("delivery") == delivery).isEmpty():
             return
-        batch = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n_rows"),
-                                           F.min(_rank(F.col("chars"), F.col("id"), F.col("row"))).alias("best"))
+        # written, for the planner would put the joins below the aggregate and move every row of a hot text
+        batch = written(rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n_rows"),
+                                                   F.min(_rank(F.col("chars"), F.col("id"), F.col("row"))).alias("best")),
+                        "digest-batch")
         known = entries.select("digest").hint("merge")
         new = batch.join(known, "digest", "left_anti").withColumn("first", F.lit(True))
         again = batch.join(known, "digest", "left_semi").withColumn("first", F.lit(False))
