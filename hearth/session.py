@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -62,3 +62,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/hearth/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a table in the shared checkpoint folder and read back: the lineage ends there, on
+    storage that every executor sees, and numbers drawn in ``df`` are fixed."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
