@@ -13,8 +13,11 @@ import math
 
 from pyspark.sql import functions as F
 
+from ..functions.scalar import hash_int_sql
 from ..operators.folds import assign_folds, assign_inner_folds, fold_sql
 from ..operators.gram import LinearCV, LinearSpec
+from ..operators.ranks import balanced_folds
+from ..operators.search import FULL
 from . import frames as fr
 from .catalog import query
 from .frames import with_base
@@ -22,11 +25,8 @@ from .frames import with_base
 B = with_base
 K = fr.FOLDS
 
-# The parameter grids of the reference's fast mode.
+# Ridge penalties of the reference's fast mode (one-feature keys with an SQL twin).
 RIDGE_ALPHAS = [0.1, 1.0, 10.0, 30.0]
-LASSO_ALPHAS = [0.0005, 0.001, 0.005]
-ENET_ALPHAS = [0.0005, 0.001, 0.005]
-ENET_L1 = [0.2, 0.5, 0.8]
 # Notebook settings of the single-model runs.
 NOTEBOOK_SPECS = [LinearSpec("ols"), LinearSpec("ridge", 10.0), LinearSpec("lasso", 0.0005),
                   LinearSpec("elasticnet", 0.001, 0.5)]
@@ -51,6 +51,13 @@ def kfold_assign_q(spark, sf):
     return assign_folds(fr.model_frame(spark, sf), K, fr.SEED).select("id", "fold")
 
 
+@query("kfold_balanced", B() + f"""
+SELECT id, CAST((row_number() OVER (ORDER BY {hash_int_sql('id', f'balanced{fr.SEED}')}, id) - 1) % {K} AS INTEGER) AS fold FROM model""")
+def kfold_balanced_q(spark, sf):
+    """Folds whose sizes differ by at most one."""
+    return balanced_folds(fr.model_frame(spark, sf).select("id"), K, fr.SEED)
+
+
 @query("inner_fold_assign", B() + f"SELECT id, {fold_sql('id', 3, fr.SEED, 'inner')} AS inner FROM model")
 def inner_fold_assign_q(spark, sf):
     return assign_inner_folds(fr.model_frame(spark, sf), 3, fr.SEED).select("id", "inner")
@@ -169,10 +176,11 @@ def full_cv(spark, sf, inner: bool = False, inner_col: str = "inner", k_inner: i
 
 
 def grid_specs():
+    """Every point of the reference's full grids of the linear family."""
     specs = [LinearSpec("ols")]
-    specs += [LinearSpec("ridge", a) for a in RIDGE_ALPHAS]
-    specs += [LinearSpec("lasso", a) for a in LASSO_ALPHAS]
-    specs += [LinearSpec("elasticnet", a, l) for a in ENET_ALPHAS for l in ENET_L1]
+    specs += [LinearSpec("ridge", a) for a in FULL["Ridge"]["alpha"]]
+    specs += [LinearSpec("lasso", a) for a in FULL["Lasso"]["alpha"]]
+    specs += [LinearSpec("elasticnet", a, r) for a in FULL["ElasticNet"]["alpha"] for r in FULL["ElasticNet"]["l1_ratio"]]
     return specs
 
 
