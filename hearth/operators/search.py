@@ -73,6 +73,8 @@ _LINEAR = {"LinearRegression": "ols", "Ridge": "ridge", "Lasso": "lasso", "Elast
 TREE_VIEWS = {"RandomForest": "onehot", "GBT_TargetEncoded": "target", "GBT_Ordinal": "ordinal", "GBT_Categorical": "categorical"}
 #: Fits that run at once.
 QUEUE = 6
+#: Cells (rows × columns) of a partition that boosting rounds go over.
+PARTITION_CELLS = 1_000_000
 
 
 def points(grid: dict) -> list[dict]:
@@ -130,6 +132,14 @@ class Training:
     def __post_init__(self):
         self.df = self.df.filter(F.col("y").isNotNull()).select("id", "y", "fold", *self.numeric, *self.categorical)
 
+    @cached_property
+    def partitions(self) -> int:
+        """Partitions of the feature tables: one per ``PARTITION_CELLS`` cells, so that small data costs few tasks a job."""
+        return max(1, -(-self.df.count() * (len(self.numeric) + len(self.categorical)) // PARTITION_CELLS))
+
+    def _kept(self, rows: DataFrame) -> DataFrame:
+        return rows.select("y", "features").coalesce(self.partitions).persist(StorageLevel.MEMORY_AND_DISK)
+
     @cached_property
     def linear(self) -> LinearCV:
         return LinearCV(self.df, self.numeric, self.categorical, "y", "fold", self.k)
@@ -223,7 +233,7 @@ class Training:
                 if j not in views:
                     train, pre = self._prepared(view, self.df.filter(F.col("fold") != j))
                     held = pre.transform(self.df.filter(F.col("fold") == j))
-                    views[j] = tuple(x.select("y", "features").persist(StorageLevel.MEMORY_AND_DISK) for x in (train, held))
+                    views[j] = self._kept(train), self._kept(held)
                 return views[j]
 
         def run(job):
@@ -255,7 +265,7 @@ class Training:
         def fit(j=None):
             rows = self.df if j is None else self.df.filter(F.col("fold") != j)
             train, pre = self._prepared(TREE_VIEWS[name], rows)
-            train = train.select("y", "features").persist(StorageLevel.MEMORY_AND_DISK)
+            train = self._kept(train)
             try:
                 model = regressor(name, _fit_key(name, p), p.get("rounds"), self.seed, train).fit(train)
             finally:
@@ -348,15 +358,15 @@ class ModelStore:
         self.spark = spark
         self.path = path or scratch_path(spark, "models")
 
-    def add(self, results: list[Result], start: int = 0) -> None:
+    def add(self, results: list[Result]) -> None:
         """Saves the models and appends their rows; names that are there already are left as they are."""
         known = {r["model"] for r in self._rows().select("model").collect()} if self._exists() else set()
-        rows = []
-        for i, r in enumerate(results, start + len(known)):
-            if r.name not in known:
-                path = f"{self.path}/model-{r.name.lower()}"
-                save(r.model, path)
-                rows.append((r.name, float(r.score), float(r.std), as_json(r.params), path, i))
+        new = [r for r in results if r.name not in known]
+        paths = [f"{self.path}/model-{r.name.lower()}" for r in new]
+        with ThreadPoolExecutor(max_workers=QUEUE) as pool:
+            list(pool.map(lambda job: save(job[0].model, job[1]), zip(new, paths)))
+        rows = [(r.name, float(r.score), float(r.std), as_json(r.params), path, i)
+                for i, (r, path) in enumerate(zip(new, paths), len(known))]
         if rows:
             self.spark.createDataFrame(rows, COMPARISON).coalesce(1).write.mode("append").parquet(f"{self.path}/results")
 

@@ -8,7 +8,7 @@ here run the tree families at the smaller sizes of ``TREE_GRIDS`` and ``CHAIN``,
 
 from __future__ import annotations
 
-import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 from pyspark.sql import functions as F
@@ -26,7 +26,7 @@ NUM, CAT = fr.MODEL_NUMERIC, fr.MODEL_CATEGORICAL
 
 #: Grids of the registered tree queries (the defaults of the search are the reference's).
 TREE_GRIDS = {
-    "RandomForest": {"trees": [20], "max_depth": [5, 10], "min_leaf": [1, 2]},
+    "RandomForest": {"trees": [20], "max_depth": [5, 10], "min_leaf": [1]},
     "GBT_TargetEncoded": {"rounds": [10, 20], "rate": [0.1, 0.3], "max_depth": [3]},
     "GBT_Ordinal": {"rounds": [10, 20], "rate": [0.1, 0.3], "leaves": [15]},
     "GBT_Categorical": {"rounds": [10, 20], "rate": [0.1, 0.3], "max_depth": [4]},
@@ -35,6 +35,10 @@ TREE_GRIDS = {
 CHAIN = replace(TrainConfig(), rounds=20, depth=4, rate=0.1)
 
 
+#: Families searched at the same time.
+FAMILIES_AT_ONCE = 4
+
+
 def training(spark, sf) -> S.Training:
     return S.Training(written(folded(spark, sf).select("id", "y", "fold", *NUM, *CAT), "training"), NUM, CAT, K, fr.SEED)
 
@@ -187,14 +191,23 @@ def model_store(spark, sf) -> S.ModelStore:
     store = S.ModelStore(spark)
     grids = {name: S.FULL[name] for name in ("LinearRegression", "Ridge", "Lasso", "ElasticNet")}
     grids |= TREE_GRIDS | {"SVR_RBF": S.FAST["SVR_RBF"], "KernelRidge_RBF": S.FULL["KernelRidge_RBF"]}
+    train.linear  # the statistics that several families read
     results, status = [], []
-    for name, run in [*((n, lambda n=n, g=g: train.search(n, g)) for n, g in grids.items()),
-                      ("StackingRegressor", lambda: train.stack(results))]:
+
+    def attempt(name, run):
         try:
-            results.append(run())
-            status.append((name, "ok", None))
+            return name, run(), None
         except Exception as why:  # noqa: BLE001 - recorded, and the others go on
-            status.append((name, "error", f"{type(why).__name__}: {why}"[:2000]))
+            return name, None, f"{type(why).__name__}: {why}"[:2000]
+
+    def keep(name, result, message):
+        results.extend([result] if result else [])
+        status.append((name, "error" if message else "ok", message))
+
+    with ThreadPoolExecutor(max_workers=FAMILIES_AT_ONCE) as pool:
+        for found in pool.map(lambda item: attempt(item[0], lambda: train.search(*item)), grids.items()):
+            keep(*found)
+    keep(*attempt("StackingRegressor", lambda: train.stack(results)))
     store.add(results)
     spark.createDataFrame(status, "model string, status string, message string").coalesce(1).write.parquet(f"{store.path}/status")
     _STORES[key] = store.path
