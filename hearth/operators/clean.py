@@ -64,7 +64,7 @@ def ensure_columns(df: DataFrame, cols=DEFAULT_ZERO_COLUMNS, value=0) -> DataFra
     return df.withColumns({c: F.lit(value) for c in missing}) if missing else df
 
 
-def fill_absent_categories(df: DataFrame, cols=LISTING_ABSENT_COLUMNS, token: str = "None") -> DataFrame:
+def fill_absent_categories(df: DataFrame, cols=(*LISTING_ABSENT_COLUMNS, *ABSENT_CATEGORY_COLUMNS), token: str = "None") -> DataFrame:
     present = [c for c in cols if c in df.columns]
     return df.fillna(token, subset=present) if present else df
 

@@ -9,8 +9,8 @@ Two Spark jobs, whatever the size of the parameter grid:
 2. ``gram_cells``: for every cell of (fold[, inner fold]) the matrix Σ z zᵀ of
    the raw design z = [1, x−c (null→0), null flags, one-hot incl. a null
    level, y]. Each task folds its rows into one matrix per cell with NumPy;
-   the matrices are cut into fixed blocks and summed by ``Summarizer.sum``
-   grouped by (cell, block), so no reducer receives more than one block per
+   the matrices are cut into fixed blocks and summed by (cell, block) in two
+   levels, groups of tasks first, so no reducer receives a row from every
    task and nothing grows with the rows.
 
 On the driver (p×p work only): the statistics of a training set are sums of
@@ -26,12 +26,14 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
+from .selection import exact_medians_by_set
+from .sums import sum_blocks
+
 BLOCK = 2048
 
 
@@ -72,13 +74,18 @@ def fold_statistics(df: DataFrame, numeric, categorical, fold_col: str | None, k
     Rows are unpivoted once and counted per (fold, column, value) with map-side
     partial aggregation; only that distinct-value table is fanned out to the
     k + 1 training sets, and each median (interpolated on even counts) is read
-    off cumulative counts. Memory follows the distinct values, which is bounded
-    for the integer-valued listing columns."""
+    off cumulative counts. Columns of a fractional type, which may have a value
+    of its own in every row, are not counted: their medians come from digit
+    counts (``selection``) and their centres from a plain mean."""
     fold = F.col(fold_col).cast("int") if fold_col else F.lit(0)
+    fractional = [c for c in numeric if isinstance(df.schema[c].dataType, T.FractionalType)]
+    counted = [c for c in numeric if c not in fractional]
     items = [F.struct(F.lit(c).alias("col"), F.col(c).cast("double").alias("x"),
-                      F.lit(None).cast("string").alias("s")) for c in numeric]
+                      F.lit(None).cast("string").alias("s")) for c in counted]
     items += [F.struct(F.lit(c).alias("col"), F.lit(None).cast("double").alias("x"),
                        F.col(c).cast("string").alias("s")) for c in categorical]
+    if not items:
+        items = [F.struct(F.lit("").alias("col"), F.lit(None).cast("double").alias("x"), F.lit(None).cast("string").alias("s"))]
     long = df.select(fold.alias("fold"), F.explode(F.array(*items)).alias("v")) \
         .select("fold", "v.col", "v.x", "v.s").filter(F.col("x").isNotNull() | F.col("s").isNotNull())
     cnt = long.groupBy("fold", "col", "x", "s").agg(F.count(F.lit(1)).alias("n")).persist()
@@ -104,6 +111,11 @@ def fold_statistics(df: DataFrame, numeric, categorical, fold_col: str | None, k
         medians[int(r["t"])][r["col"]] = r["med"]
         if r["t"] == -1:
             centers[r["col"]] = float(r["avg"])
+    if fractional:
+        for t, by_col in exact_medians_by_set(df, fractional, fold_col, k).items():
+            medians[t].update(by_col)
+        means = df.agg(*[F.avg(F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))).alias(c) for c in fractional]).first()
+        centers.update({c: float(means[c]) for c in fractional if means[c] is not None})
     levels = {c: [] for c in categorical}
     for r in lv:
         levels[r["col"]] = list(r["lv"])
@@ -160,8 +172,7 @@ def gram_cells(df: DataFrame, design: Design, keys: list[str], target: str) -> d
     schema = ", ".join(f"{k} int" for k in keys) + ", block int, v array<double>"
     cols = [*keys, *design.numeric, *design.categorical, target]
     parts = df.select(*[F.col(c) for c in cols]).mapInPandas(_partition_grams(design, keys, target), schema)
-    summed = parts.groupBy(*keys, "block").agg(
-        Summarizer.sum(array_to_vector("v")).alias("v")).collect()  # cells × blocks rows
+    summed = sum_blocks(parts, [*keys, "block"]).collect()  # cells × blocks rows
     d = design.d
     iu = np.triu_indices(d)
     out: dict = {}

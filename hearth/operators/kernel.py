@@ -21,28 +21,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .sums import sum_blocks
 from .transformers import _StateModel
 
 BLOCK = 4096
-#: Groups of tasks whose partial sums are added first.
-REDUCE_GROUPS = 64
 #: Random features.
 FEATURES = 256
 
 
-def sum_blocks(parts: DataFrame, keys: list[str]) -> DataFrame:
-    """Sum of ``v`` by ``keys``: over groups of tasks first, then over the groups."""
-    group = F.spark_partition_id() % REDUCE_GROUPS
-    add = Summarizer.sum(F.col("v")).alias("v")
-    some = parts.withColumn("v", array_to_vector("v")).withColumn("group", group).groupBy(*keys, "group").agg(add)
-    return some.groupBy(*keys).agg(add)
-
-
 # ---------------------------------------------------------------- features
 
 def view_of(cv, fold: int | None) -> dict:

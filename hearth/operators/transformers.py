@@ -18,6 +18,9 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as TY
+
+from .selection import exact_medians_by_set
 
 
 class _StateModel(Model, DefaultParamsReadable, DefaultParamsWritable):
@@ -48,9 +51,17 @@ class MedianImputerModel(_StateModel):
 
 
 def exact_medians(df: DataFrame, cols) -> dict:
-    """Exact (interpolated) medians of many columns in one job: values are
+    """Exact (interpolated) medians of many columns: values of whole-number types are
     counted per (column, value) with partial aggregation, and each column's
-    median is read off cumulative counts in its own window partition."""
+    median is read off cumulative counts in its own window partition; columns of
+    a fractional type are settled by digit counts, as they may hold a value a row."""
+    fractional = [c for c in cols if isinstance(df.schema[c].dataType, TY.FractionalType)]
+    if fractional:
+        out = dict.fromkeys(cols)
+        out.update(exact_medians_by_set(df, fractional)[-1])
+        rest = [c for c in cols if c not in fractional]
+        out.update(exact_medians(df, rest) if rest else {})
+        return out
     items = [F.struct(F.lit(c).alias("col"), F.col(c).cast("double").alias("x")) for c in cols]
     cnt = df.select(F.explode(F.array(*items)).alias("v")).select("v.col", "v.x") \
         .filter(F.col("x").isNotNull()).groupBy("col", "x").agg(F.count(F.lit(1)).alias("n"))

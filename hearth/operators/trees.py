@@ -25,12 +25,12 @@ from pyspark.storagelevel import StorageLevel
 from . import transformers as T
 
 
-def rf_pipeline(num, cat, num_trees=20, max_depth=10, min_leaf=1, seed=42) -> Pipeline:
+def rf_pipeline(num, cat, num_trees=20, max_depth=10, min_leaf=1, seed=42, max_bins=64) -> Pipeline:
     """Random forest on the one-hot tree view; every feature is a split
     candidate (scikit-learn's regressor default); depth None maps to MLlib's cap 30."""
     rf = RandomForestRegressor(featuresCol="features", labelCol="y", numTrees=num_trees,
                                maxDepth=min(max_depth or 30, 30), minInstancesPerNode=min_leaf,
-                               featureSubsetStrategy="all", seed=seed, maxBins=64)
+                               featureSubsetStrategy="all", seed=seed, maxBins=max_bins)
     return Pipeline(stages=[*T.tree_pipeline(num, cat).getStages(), rf])
 
 

@@ -81,7 +81,9 @@ def fold_scores(o):
                                 E.rmse_col("y", (F.col("pred_group") + F.col("pred_area")) / 2).alias("equal_blend"))
     long = per.unpivot(["fold"], ["group", "area", "equal_blend"], "model", "r")
     finite = ~F.isnan("r") & (F.abs("r") < float("inf"))
-    return long.filter(finite).groupBy("model").agg(F.avg("r").alias("m"), F.stddev_pop("r").alias("s"))
+    r = F.when(finite, F.col("r"))  # a model without a finite fold scores (inf, NaN)
+    return long.groupBy("model").agg(F.coalesce(F.avg(r), F.lit(float("inf"))).alias("m"),
+                                     F.coalesce(F.stddev_pop(r), F.lit(float("nan"))).alias("s"))
 
 
 @query("cv_score", OB(_FOLD_RMSE) + """
@@ -246,15 +248,16 @@ SELECT CAST((SELECT count(*) FROM listing WHERE split = 'test') AS BIGINT) AS n_
        CAST((SELECT count(*) FROM listing l WHERE split = 'test' AND NOT EXISTS (SELECT 1 FROM scored s WHERE s.id = l.id)) AS BIGINT) AS n_missing,
        CAST((SELECT count(*) FROM scored s WHERE NOT EXISTS (SELECT 1 FROM listing l WHERE l.split = 'test' AND l.id = s.id)) AS BIGINT) AS n_extra""")
 def submission_key_check_q(spark, sf):
-    """Key coverage of the predictions against the expected id set (anti joins both ways)."""
+    """Key coverage of a written submission against a submission template, both read from CSV files (anti joins both ways)."""
+    from ..session import scratch_path
+    from ..sources import files as S
+    from pyspark.sql import types as T
     s, _, _ = fitted_ensemble(spark, sf)
-    pred = s.select("id")
-    expected = fr.listing_frame(spark, sf).filter("split = 'test'").select("id")
-    c = lambda df: df.agg(F.count(F.lit(1)).cast("bigint"))
-    return c(expected).withColumnRenamed(c(expected).columns[0], "n_expected") \
-        .join(c(pred).toDF("n_predicted")) \
-        .join(c(expected.join(pred, "id", "left_anti")).toDF("n_missing")) \
-        .join(c(pred.join(expected, "id", "left_anti")).toDF("n_extra"))
+    ids = fr.listing_frame(spark, sf).filter("split = 'test'").select(F.col("id").alias("Id"), F.lit(0.0).alias("SalePrice"))
+    template = S.write_csv(ids, scratch_path(spark, "template"))
+    submission = S.write_csv(s.select(F.col("id").alias("Id"), F.greatest(F.exp("pred_log"), F.lit(1.0)).alias("SalePrice")),
+                             scratch_path(spark, "submission"))
+    return S.key_coverage(spark, template, submission, T.StructField("Id", T.LongType()))
 
 
 @query("rmsle_raw", OB(_BLEND, _FULL) + """

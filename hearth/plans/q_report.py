@@ -43,7 +43,7 @@ def unpivot_inputs_q(spark, sf):
 
 
 @query("audit_rows", OB(_BLEND) + f"""
-SELECT s.id, '{__version__}' AS version, {input_hash_sql().replace('sha256(', 'sha256(').replace(' || ', ' || ')} AS input_hash,
+SELECT s.id, '{__version__}' AS version, {input_hash_sql()} AS input_hash,
        printf('%.4f', (SELECT w FROM best)) AS blend_weight, CAST(2 AS INTEGER) AS n_features
 FROM listing s WHERE s.split = 'test'""")
 def audit_rows_q(spark, sf):
@@ -124,3 +124,19 @@ def union_results_q(spark, sf):
         part = QUERIES[k](spark, sf).select(F.lit(k).alias("model"), "fold", "mse")
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
+
+
+@query("report_tables", f"""
+SELECT 'missing_values' AS report, "column" AS name, missing_percent AS value FROM ({ORACLE_SQL['missing_profile']})
+UNION ALL SELECT 'correlations', "column", abs_corr FROM ({ORACLE_SQL['target_correlation']})""")
+def report_tables_q(spark, sf):
+    """The report's CSV files (gaps, correlations with the target), written and read back."""
+    from ..session import scratch_path
+    from ..sources.files import write_csv
+    out = scratch_path(spark, "reports")
+    parts = []
+    for report, key, value in (("missing_values", "missing_profile", "missing_percent"), ("correlations", "target_correlation", "abs_corr")):
+        path = write_csv(QUERIES[key](spark, sf).select(F.col("column").alias("name"), F.col(value).alias("value")).coalesce(1), f"{out}/{report}")
+        back = spark.read.schema("name string, value double").option("header", True).option("enforceSchema", False).csv(path)
+        parts.append(back.select(F.lit(report).alias("report"), "name", "value"))
+    return parts[0].unionByName(parts[1])

@@ -144,6 +144,15 @@ def ensemble_fit_q(spark, sf):
         "cv_folds int, n_numeric_features int, n_categorical_features int, n_linear_features int, alpha double, l1_ratio double")
 
 
+@query("metrics_json")
+def metrics_json_q(spark, sf):
+    """The ensemble's metrics as its saved JSON file holds them."""
+    two_models(spark, sf)
+    return spark.read.schema("blend_weight_linear double, cv_rmsle_linear double, cv_rmsle_catboost double, cv_rmsle_blend double, "
+                             "cv_folds int, n_numeric_features int, n_categorical_features int, target string").json(
+        f"{_CHAINS[spark.sparkContext.applicationId, sf]}/metrics")
+
+
 @query("two_model_predict")
 def two_model_predict_q(spark, sf):
     """Prices of the held-out split by the saved and reloaded ensemble."""

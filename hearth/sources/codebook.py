@@ -10,48 +10,22 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Codes of the listing's coded fields (the pool field lists NA and no Po).
-LISTING_CODEBOOK = """kitchen_qual: State of the kitchen
+LISTING_CODES = {
+    "kitchen_qual": "Ex Gd TA Fa Po",
+    "exter_qual": "Ex Gd TA Fa Po",
+    "pool_qual": "Ex Gd TA Fa NA",
+    "central_air": "N Y",
+    "sale_type": "F O",
+    "segment": "AUTOMOBILE BUILDING FURNITURE HOUSEHOLD MACHINERY",
+}
 
-       Ex\tBest grade
-       Gd\tAbove the usual
-       TA\tAs usual
-       Fa\tBelow the usual
-       Po\tWorst grade
 
-exter_qual: State of the outer walls
+def codebook_text(codes: dict[str, str]) -> str:
+    """Fields and their codes (without labels) in the codebook's layout."""
+    return "\n".join(line for field, words in codes.items() for line in (f"{field}:", "", *[f"       {c}\t" for c in words.split()], ""))
 
-       Ex\tBest grade
-       Gd\tAbove the usual
-       TA\tAs usual
-       Fa\tBelow the usual
-       Po\tWorst grade
 
-pool_qual: State of the swimming pool
-
-       Ex\tBest grade
-       Gd\tAbove the usual
-       TA\tAs usual
-       Fa\tBelow the usual
-       NA\tWithout a pool
-
-central_air: Whole-house cooling
-
-       N\tAbsent
-       Y\tPresent
-
-sale_type: Type of sale
-
-       F\tFinished
-       O\tOpen
-
-segment: Market segment of the buyer
-
-       AUTOMOBILE\tAutomobile
-       BUILDING\tBuilding
-       FURNITURE\tFurniture
-       HOUSEHOLD\tHousehold
-       MACHINERY\tMachinery
-"""
+LISTING_CODEBOOK = codebook_text(LISTING_CODES)
 
 HEADER_RE = r"^(\S+):\s*(.*)$"
 # a code may hold blanks or end in one
