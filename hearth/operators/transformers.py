@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as TY
 
+from ..session import scratch_path, written
+from .levels import LITERAL_LEVELS, LevelTableModel, most_levels, ordinal_codes
 from .selection import exact_medians_by_set
 
 
@@ -159,13 +161,24 @@ class OrdinalEncoderModel(_StateModel):
 class OrdinalEncoder(Estimator):
     """Lexicographic codes 0..k-1 of the training levels; unseen (or null) → −1."""
 
-    def __init__(self, cols, suffix: str = "_ord"):
+    def __init__(self, cols, suffix: str = "_ord", literal_levels: int = LITERAL_LEVELS):
         super().__init__()
-        self.cols, self.suffix = list(cols), suffix
+        self.cols, self.suffix, self.literal_levels = list(cols), suffix, literal_levels
 
-    def _fit(self, df: DataFrame) -> OrdinalEncoderModel:
-        row = df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in self.cols]).first()
-        return OrdinalEncoderModel(levels={c: list(row[c]) for c in self.cols}, suffix=self.suffix)
+    def _fit(self, df: DataFrame):
+        codes = ordinal_codes(df, self.cols)
+        if most_levels(codes) > self.literal_levels:
+            return LevelTableModel(_kept_table(codes), self.cols, self.suffix, -1.0)
+        levels: dict = {c: [] for c in self.cols}
+        for r in codes.orderBy("column", "value").collect():  # at most literal_levels a column
+            levels[r["column"]].append(r["level"])
+        return OrdinalEncoderModel(levels=levels, suffix=self.suffix)
+
+
+def _kept_table(table: DataFrame) -> str:
+    path = scratch_path(table.sparkSession, "levels")
+    table.select("column", "level", "value").write.parquet(path)
+    return path
 
 
 def one_hot_stages(cols, suffix: str = "_oh"):
@@ -249,20 +262,20 @@ def target_encoding_stats(df: DataFrame, cols, target: str, fold_col: str | None
 class TargetEncoder(Estimator):
     """Fit on all training rows (used at scoring time)."""
 
-    def __init__(self, cols, target: str, suffix: str = "_te"):
+    def __init__(self, cols, target: str, suffix: str = "_te", literal_levels: int = LITERAL_LEVELS):
         super().__init__()
-        self.cols, self.target, self.suffix = list(cols), target, suffix
-
-    def _fit(self, df: DataFrame) -> TargetEncoderModel:
-        stats = target_encoding_stats(df.filter(F.col(self.target).isNotNull()), self.cols, self.target)
+        self.cols, self.target, self.suffix, self.literal_levels = list(cols), target, suffix, literal_levels
+
+    def _fit(self, df: DataFrame):
+        known = df.filter(F.col(self.target).isNotNull())
+        prior = float(known.agg(F.avg(self.target)).first()[0])
+        stats = written(target_encoding_stats(known, self.cols, self.target).filter("level is not null")
+                        .select("column", "level", F.col("enc").alias("value")), "encodings")
+        if most_levels(stats) > self.literal_levels:
+            return LevelTableModel(_kept_table(stats), self.cols, self.suffix, prior)
         enc: dict = {}
-        prior = None
-        for r in stats.collect():  # one row per (column, level)
-            if r["level"] is not None:
-                enc.setdefault(r["column"], {})[r["level"]] = r["enc"]
-            prior = r["prior"]
-        if prior is None:
-            prior = float(df.agg(F.avg(self.target)).first()[0])
+        for r in stats.collect():  # at most literal_levels a column
+            enc.setdefault(r["column"], {})[r["level"]] = r["value"]
         return TargetEncoderModel(cols=self.cols, enc=enc, prior=prior, suffix=self.suffix)
 
 

@@ -279,3 +279,24 @@ def submission_per_model_q(spark, sf):
         back = back.select(F.lit(r["safe"]).alias("submission"), "id", "price")
         parts = back if parts is None else parts.unionByName(back)
     return parts
+
+
+@query("prediction_log")
+def prediction_log_q(spark, sf):
+    """The log of the two-model ensemble's prices: versions of program and data, input hash, blend weight, counted
+    features, price and time. The run is appended twice, as after a restart, and stands there once."""
+    from .. import __version__
+    from ..operators.products import append_run, table_fingerprint
+    from .q_functions import input_hash_col
+    m = two_models(spark, sf)
+    te = fr.listing_frame(spark, sf).filter("split = 'test'")
+    hashes = te.select("id", input_hash_col().alias("input_hash"))
+    data = table_fingerprint(fr.model_frame(spark, sf))
+    rows = m.predict(fr.model_frame(spark, sf, "test")).select("id", F.round("price", 2).alias("price")).join(hashes, "id").select(
+        "id", F.lit(__version__).alias("version"), F.lit(data).alias("data_version"), "input_hash",
+        F.format_string("%.4f", F.lit(m.metrics["blend_weight_linear"])).alias("blend_weight"),
+        F.lit(m.metrics["n_linear_features"]).alias("n_features"), "price")
+    path = scratch_path(spark, "prediction-log")
+    run = f"{data}-{m.metrics['blend_weight_linear']}"
+    append_run(rows, path, run)
+    return append_run(rows, path, run)

@@ -340,3 +340,25 @@ def test_medians_by_digits(spark):
             x = rows[c].dropna().to_numpy()
             want = None if not len(x) else float(np.median(x))
             assert got[t][c] == want, (t, c)
+
+
+def test_encoders_of_a_million_levels(spark):
+    """Levels beyond the literal limit become a table: same values, saved and reloaded, nulls and unknown levels too."""
+    from hearth.operators import transformers as T
+    from hearth.operators.levels import LevelTableModel
+    n = 1_000_000
+    df = spark.range(n).select("id", F.concat(F.lit("u"), F.col("id")).alias("u"),
+                               F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 7)).alias("v"),
+                               (F.col("id") % 10).cast("double").alias("y"))
+    ordinal = T.OrdinalEncoder(["u", "v"]).fit(df)
+    assert isinstance(ordinal, LevelTableModel)
+    again = FM.load(FM.save(ordinal, scratch_path(spark, "ordinal")))
+    rows = spark.createDataFrame([(1, "u0", "hot"), (2, "u999999", "k6"), (3, None, None), (4, "new", "k0")], "id long, u string, v string")
+    got = {r.id: (r.u_ord, r.v_ord) for r in again.transform(rows).collect()}
+    assert got == {1: (0.0, 0.0), 2: (float(n - 1), 7.0), 3: (-1.0, -1.0), 4: (-1.0, 1.0)}
+    few = df.filter("id < 3000")
+    wide = T.TargetEncoder(["u", "v"], "y", literal_levels=100).fit(few)
+    literal = T.TargetEncoder(["u", "v"], "y", literal_levels=10**6).fit(few)
+    assert isinstance(wide, LevelTableModel) and not isinstance(literal, LevelTableModel)
+    a, b = ({r.id: (r.u_te, r.v_te) for r in m.transform(rows).collect()} for m in (wide, literal))
+    assert a == {k: pytest.approx(v) for k, v in b.items()}
