@@ -33,7 +33,9 @@ from hearth.llm.common import written
 CAPACITY = 4096
 END_ID = 1
 #: Words kept encoded in one Python worker.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 400_000
+#: Texts that a task holds as Python strings at once.
+SLICE = 500
 
 _STATE: dict = {}
 
@@ -105,7 +107,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
         encode = encoder(tokenizer)
         end = np.array([end_id], "<u4").tobytes()
         step = 4 * capacity
-        for batch in batches:
+        slices = (whole.slice(first, SLICE) for whole in batches for first in range(0, whole.num_rows, SLICE))
+        for batch in slices:
             rows: list[tuple] = []
             for d, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = encode(text or "") + end
