@@ -17,7 +17,7 @@ from ..functions.scalar import hash_int_sql
 from ..operators.folds import assign_folds, assign_inner_folds, fold_sql
 from ..operators.gram import LinearCV, LinearSpec
 from ..operators.ranks import balanced_folds
-from ..operators.search import FULL
+from ..operators.search import FAST, FULL
 from . import frames as fr
 from .catalog import query
 from .frames import with_base
@@ -175,12 +175,12 @@ def full_cv(spark, sf, inner: bool = False, inner_col: str = "inner", k_inner: i
                     inner_col=inner_col if inner else None, k_inner=k_inner)
 
 
-def grid_specs():
-    """Every point of the reference's full grids of the linear family."""
+def grid_specs(grids: dict = FAST):
+    """Every point of the reference's grids of the linear family."""
     specs = [LinearSpec("ols")]
-    specs += [LinearSpec("ridge", a) for a in FULL["Ridge"]["alpha"]]
-    specs += [LinearSpec("lasso", a) for a in FULL["Lasso"]["alpha"]]
-    specs += [LinearSpec("elasticnet", a, r) for a in FULL["ElasticNet"]["alpha"] for r in FULL["ElasticNet"]["l1_ratio"]]
+    specs += [LinearSpec("ridge", a) for a in grids["Ridge"]["alpha"]]
+    specs += [LinearSpec("lasso", a) for a in grids["Lasso"]["alpha"]]
+    specs += [LinearSpec("elasticnet", a, r) for a in grids["ElasticNet"]["alpha"] for r in grids["ElasticNet"]["l1_ratio"]]
     return specs
 
 
@@ -205,6 +205,13 @@ def grid_search_q(spark, sf):
                                  "model string, params string, cv_rmse double, is_best boolean")
 
 
+@query("grid_search_full")
+def grid_search_full_q(spark, sf):
+    """The same over the reference's full grids: no further pass over the data."""
+    return spark.createDataFrame(grid_table(full_cv(spark, sf), grid_specs(FULL)),
+                                 "model string, params string, cv_rmse double, is_best boolean")
+
+
 def cv_summary(errs):
     """mean and population std of per-fold RMSE over the finite folds;
     no finite fold → (inf, NaN)."""

@@ -122,3 +122,44 @@ def test_step_status_records_failure(spark):
     rows = {r.step: r for r in Q["step_status"](spark, SF_SMALL).collect()}
     assert rows["scan_listings_csv"].status == "error: FileNotFoundError"
     assert rows["missing_profile"].status == "ok"
+
+
+def test_every_family_is_compared_and_the_best_is_used(spark):
+    rows = Q["model_comparison_all"](spark, SF_SMALL).collect()
+    assert len(rows) == 11 and rows[0].model == Q["best_model_predict"](spark, SF_SMALL).first().model
+    scores = [r.cv_rmsle_mean for r in rows]
+    assert scores == sorted(scores) and all(0 < s < 0.2 for s in scores)
+    assert all(r.status == "ok" and r.message is None for r in Q["model_status"](spark, SF_SMALL).collect())
+    n = fr.model_frame(spark, SF_SMALL, "test").count()
+    for name in ("best_model_predict", "weighted_blend_fitted", "stacking_fitted", "two_model_predict"):
+        priced = Q[name](spark, SF_SMALL).collect()
+        assert len(priced) == n and all(r.price >= 1 for r in priced)
+    assert Q["submission_per_model"](spark, SF_SMALL).groupBy("submission").count().filter(f"count = {n}").count() == 11
+    imp = Q["permutation_importance"](spark, SF_SMALL).collect()
+    assert len(imp) == len(fr.MODEL_NUMERIC) + len(fr.MODEL_CATEGORICAL)
+    assert [r.importance for r in imp] == sorted((r.importance for r in imp), reverse=True)
+
+
+def test_files_of_the_two_model_chain(spark):
+    m = Q["ensemble_fit"](spark, SF_SMALL).first()
+    j = Q["metrics_json"](spark, SF_SMALL).first()
+    assert j.blend_weight_linear == m.blend_weight_linear and j.target == "log1p" and j.n_numeric_features == m.n_numeric_features
+    log = Q["prediction_log"](spark, SF_SMALL).collect()
+    assert len(log) == fr.model_frame(spark, SF_SMALL, "test").count()
+    assert {(len(r.data_version), r.n_features) for r in log} == {(16, m.n_linear_features)}
+
+
+def test_kernel_grids_cover_the_reference(spark):
+    from hearth.operators.search import FAST, FULL, points
+    rows = Q["kernel_ridge_search"](spark, SF_SMALL).collect()
+    assert len(rows) == fr.FOLDS * len(points(FULL["KernelRidge_RBF"])) and sum(r.is_best for r in rows) == fr.FOLDS
+    rows = Q["svr_search"](spark, SF_SMALL).collect()
+    assert len(rows) == fr.FOLDS * len(points(FAST["SVR_RBF"])) and all(r.rmse < 0.15 for r in rows)
+
+
+def test_full_linear_grid(spark):
+    rows = Q["grid_search_full"](spark, SF_SMALL).collect()
+    assert len(rows) == 38 and sum(r.is_best for r in rows) == 4
+    fast = {(r.model, r.params): r.cv_rmse for r in Q["grid_search"](spark, SF_SMALL).collect()}
+    both = [(r.cv_rmse, fast[r.model, r.params]) for r in rows if (r.model, r.params) in fast]
+    assert len(both) > 10 and all(a == pytest.approx(b, abs=1e-6) for a, b in both)
