@@ -31,12 +31,21 @@ TREE_GRIDS = {
     "GBT_Ordinal": {"rounds": [10, 20], "rate": [0.1, 0.3], "leaves": [15]},
     "GBT_Categorical": {"rounds": [10, 20], "rate": [0.1, 0.3], "max_depth": [4]},
 }
+#: Grids of the registered comparison beside the full linear ones: one search of every family within a query's time.
+STORE_GRIDS = {
+    "RandomForest": {"trees": [10], "max_depth": [4], "min_leaf": [1]},
+    "GBT_TargetEncoded": {"rounds": [3, 5], "rate": [0.3], "max_depth": [2]},
+    "GBT_Ordinal": {"rounds": [3, 5], "rate": [0.3], "leaves": [4]},
+    "GBT_Categorical": {"rounds": [3, 5], "rate": [0.3], "max_depth": [2]},
+    "SVR_RBF": {"C": [5.0], "gamma": ["scale"], "epsilon": [0.01]},
+    "KernelRidge_RBF": S.FAST["KernelRidge_RBF"],
+}
 #: Trees of the registered two-model queries; the penalties, folds and target transform are the reference's.
 CHAIN = replace(TrainConfig(), rounds=20, depth=4, rate=0.1)
 
 
 #: Families searched at the same time.
-FAMILIES_AT_ONCE = 4
+FAMILIES_AT_ONCE = 1
 
 
 def training(spark, sf) -> S.Training:
@@ -195,7 +204,7 @@ _STORES: dict = {}
 def model_store(spark, sf) -> S.ModelStore:
     """All families searched on the same folds and saved once per application and data folder.
 
-    Linear and kernel families run the reference's grids (full; ε-insensitive: fast), tree families ``TREE_GRIDS``.
+    The linear family runs the reference's full grids, the others ``STORE_GRIDS``.
     A family that fails is left out, and why is kept in the store's status table.
     """
     key = (spark.sparkContext.applicationId, sf)
@@ -204,7 +213,7 @@ def model_store(spark, sf) -> S.ModelStore:
     train = training(spark, sf)
     store = S.ModelStore(spark)
     grids = {name: S.FULL[name] for name in ("LinearRegression", "Ridge", "Lasso", "ElasticNet")}
-    grids |= TREE_GRIDS | {"SVR_RBF": S.FAST["SVR_RBF"], "KernelRidge_RBF": S.FULL["KernelRidge_RBF"]}
+    grids |= STORE_GRIDS
     train.linear  # the statistics that several families read
     results, status = [], []
 
