@@ -19,6 +19,7 @@ Only the histogram and the plan (numbers of lengths and configurations, bounded
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -46,25 +47,39 @@ for _lo, _hi in ((33, 48), (58, 65), (91, 97), (123, 127)):
     _PUNCT[_lo:_hi] = True
 
 
+def _spelled(tokenizer) -> dict[str, str]:
+    """Lower-case Latin-1 letter → how the tokenizer spells it for its model; a letter that it normalises or splits is left out."""
+    letters = [chr(c) for c in (*range(ord("a"), ord("z") + 1), *range(0xDF, 0x100)) if chr(c).isalpha()]
+    out = {}
+    for x in letters:
+        parts = tokenizer.pre_tokenizer.pre_tokenize_str(x)
+        if len(parts) == 1 and tokenizer.normalizer.normalize_str(x) == x:
+            out[x] = parts[0][0]
+    return out
+
+
 class _Words(dict):
     """bytes of a lower-cased chunk → its ids as little-endian uint32 bytes."""
 
     def __init__(self, path: str):
-        import re
-
         from tokenizers import Tokenizer
         self.full = Tokenizer.from_file(path)
-        # the model alone, for chunks that normalising and splitting leave as they are
+        # the model alone, for words of letters, which normalising (but for case) and splitting leave whole
         self.model = self.full.model
-        self.plain = re.compile(rb"[a-z]+").fullmatch
+        self.letters = _spelled(self.full)
         self.specials = [t.content.encode().lower() for t in self.full.get_added_tokens_decoder().values()]
 
     def __missing__(self, chunk: bytes) -> bytes:
-        if self.plain(chunk):
+        if chunk.isalpha():  # a-z only
             ids = [t.id for t in self.model.tokenize(chunk.decode())]
         else:
-            ids = self.full.encode(chunk.decode(), add_special_tokens=False).ids
-        out = np.array(ids, "<u4").tobytes()
+            word = chunk.decode()
+            low = word.lower()
+            if low.isalpha() and self.letters.keys() >= set(low):
+                ids = [t.id for t in self.model.tokenize("".join(map(self.letters.__getitem__, low)))]
+            else:
+                ids = self.full.encode(word, add_special_tokens=False).ids
+        out = struct.pack(f"<{len(ids)}I", *ids)
         if len(self) >= CACHE_WORDS:
             self.clear()
         self[chunk] = out
