@@ -98,6 +98,29 @@ def ridge_meta(df: DataFrame, y: str, bases: list[str], alpha: float = 10.0):
     return float(b0), [float(x) for x in w]
 
 
+def fold_moments(df: DataFrame, y: str, bases: list[str], fold_col: str, k: int, centre: float = 0.0) -> dict[int, np.ndarray]:
+    """Σ zzᵀ of z = (1, bases − centre, y − centre) per fold 0..k−1, in one aggregate: every meta model and its held-out
+    error follow from these sums. A centre near the mean of ``y`` keeps their digits."""
+    z = [F.lit(1.0)] + [F.col(c).cast("double") - F.lit(centre) for c in [*bases, y]]
+    at = [(a, b) for a in range(len(z)) for b in range(a, len(z))]
+    sums = df.groupBy(F.col(fold_col).alias("__fold")).agg(*[F.sum(z[a] * z[b]).alias(f"s{a}_{b}") for a, b in at])
+    out = {j: np.zeros((len(z), len(z))) for j in range(k)}
+    for r in sums.collect():  # one row a fold
+        for a, b in at:
+            out[r["__fold"]][a, b] = out[r["__fold"]][b, a] = r[f"s{a}_{b}"]
+    return out
+
+
+def meta_of(moments: np.ndarray, alpha: float) -> tuple[float, list[float]]:
+    """(intercept, weights) of the ridge on the bases, intercept free, from ``fold_moments`` in their centred terms."""
+    n = moments[0, 0]
+    means = moments[0, 1:] / n
+    c = moments[1:, 1:] - n * np.outer(means, means)
+    q = len(c) - 1
+    w = np.linalg.solve(c[:q, :q] + alpha * np.eye(q), c[:q, q])
+    return float(means[q] - w @ means[:q]), [float(x) for x in w]
+
+
 def top_k_per_group(df: DataFrame, group: str, order: list[Column], k: int) -> DataFrame:
     """Exact top-k rows per group. The planner puts a group limit below the
     exchange, so each task sends at most k rows of a group."""

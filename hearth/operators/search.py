@@ -6,7 +6,8 @@ mode; its fast mode is ``FAST``. What can be shared is computed once:
 
 * the linear family reads fold statistics only, whatever the grid;
 * kernel families make one pass (ridge) or one series of passes (ε-insensitive) per γ for all other parameters;
-* tree families fit their pre-processing once per fold, and all points of the grid run over these features from
+* tree families take the medians, modes and levels of every training set from the same statistics (categories of many
+  levels are fitted once per fold, as tables), and all points of the grid run over these features from
   one queue; a boosted model is fitted with the most rounds of the grid and scored after every number of rounds
   in it, which gives the same trees as a fit of its own; depth None is MLlib's largest, 30.
 """
@@ -22,8 +23,9 @@ from dataclasses import dataclass, field
 from functools import cached_property
 from itertools import product
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,10 +34,11 @@ from pyspark.storagelevel import StorageLevel
 from ..session import scratch_path, written
 from . import kernel as KR
 from . import transformers as T
-from .ensemble import ridge_meta
+from .ensemble import fold_moments, meta_of
 from .fitted import Branches, LinearFormula, load, predictions, save
 from .folds import fold_col
 from .gram import LinearCV, LinearSpec
+from .levels import LITERAL_LEVELS, long_levels, most_levels
 from .trees import categorical_view_stages
 
 # The parameter grids of the full and of the fast mode.
@@ -207,19 +210,55 @@ class Training:
                             lambda p, j: PipelineModel(stages=[folds[at(p)][j]]))
 
     # trees ------------------------------------------------------------------------
-    def _prepared(self, view: str, rows: DataFrame):
-        """(rows with features, pre-processing for other rows) of a tree view fitted on ``rows``."""
+    @cached_property
+    def few_levels(self) -> bool:
+        """Every category has levels that a plan may hold as literals, so the fold statistics serve the tree views too."""
+        return most_levels(long_levels(self.df, self.categorical)) <= LITERAL_LEVELS if self.categorical else True
+
+    def _share(self) -> None:
+        """Has the statistics that all fits read made once, before they start side by side."""
+        if self.few_levels:
+            self.linear  # noqa: B018
+
+    def _view_stages(self, view: str, fold: int | None) -> list:
+        """Pre-processing of a tree view for the rows outside ``fold`` (None: all): medians, modes and levels of all
+        training sets come from one pass (``linear``); categories of many levels are fitted on the rows, as tables."""
         num, cat = self.numeric, self.categorical
+        stages = {"onehot": T.tree_pipeline, "ordinal": T.ordinal_pipeline, "target": target_pipeline,
+                  "categorical": lambda num, cat: Pipeline(stages=categorical_view_stages(num, cat))}[view](num, cat).getStages()
+        if not self.few_levels:
+            return stages
+        tf, counts = self.linear.transform_for(fold), self.linear.train_S(fold)
+        token = next((s.token for s in stages if isinstance(s, T.FillMissingStage)), None)
+
+        def levels(c):
+            empty = self.linear.design.index[("h", c, None)]
+            return sorted({*tf.kept[c], *([token] if token is not None and counts[empty, empty] > 0 else [])})
+
+        def known(stage):
+            if isinstance(stage, T.MedianImputer):
+                return [T.MedianImputerModel(medians=tf.medians)]
+            if isinstance(stage, T.ModeImputer):
+                return [T.ModeImputerModel(modes=tf.modes)]
+            if isinstance(stage, T.OrdinalEncoder):
+                return [T.OrdinalEncoderModel(levels={c: levels(c) for c in cat}, suffix=stage.suffix)]
+            if isinstance(stage, StringIndexer):  # a model a column: label lists of several lengths do not go through as one array
+                return [StringIndexerModel.from_labels(levels(c), i, o, stage.getHandleInvalid())
+                        for c, i, o in zip(cat, stage.getInputCols(), stage.getOutputCols())]
+            return [stage]
+        return [x for s in stages for x in known(s)] if all(levels(c) for c in cat) else stages
+
+    def _prepared(self, view: str, fold: int | None):
+        """(rows outside ``fold`` (None: all) with features, pre-processing for other rows) of a tree view."""
+        rows = self.df if fold is None else self.df.filter(F.col("fold") != fold)
+        pre = Pipeline(stages=self._view_stages(view, fold)).fit(rows)
         if view == "target":
-            return target_encoded(rows, num, cat, self.k, self.seed)
-        stages = {"onehot": lambda: T.tree_pipeline(num, cat).getStages(), "ordinal": lambda: T.ordinal_pipeline(num, cat).getStages(),
-                  "categorical": lambda: categorical_view_stages(num, cat)}[view]()
-        from pyspark.ml import Pipeline
-        pre = Pipeline(stages=stages).fit(rows)
+            return target_encoded(rows, pre, self.numeric, self.categorical, self.k, self.seed)
         return pre.transform(rows), pre
 
     def _search_trees(self, name, grid):
         view = TREE_VIEWS[name]
+        self._share()
         # depth None and 30 are one model, and a boosted model of the most rounds holds those of fewer
         fits: dict[tuple, dict[tuple, list]] = {}
         for p in grid:
@@ -231,7 +270,7 @@ class Training:
         def features(j):
             with lock[j]:
                 if j not in views:
-                    train, pre = self._prepared(view, self.df.filter(F.col("fold") != j))
+                    train, pre = self._prepared(view, j)
                     held = pre.transform(self.df.filter(F.col("fold") == j))
                     views[j] = self._kept(train), self._kept(held)
                 return views[j]
@@ -262,9 +301,10 @@ class Training:
 
     def tree_fitter(self, name: str, p: dict) -> Callable[[int | None], PipelineModel]:
         """fold → the tree family's model of point ``p``, with its pre-processing, fitted outside the fold (None: on all rows)."""
+        self._share()
+
         def fit(j=None):
-            rows = self.df if j is None else self.df.filter(F.col("fold") != j)
-            train, pre = self._prepared(TREE_VIEWS[name], rows)
+            train, pre = self._prepared(TREE_VIEWS[name], j)
             train = self._kept(train)
             try:
                 model = regressor(name, _fit_key(name, p), p.get("rounds"), self.seed, train).fit(train)
@@ -285,14 +325,17 @@ class Training:
             raise ValueError("stacking needs two base models at least")
         names = [f"b{i}" for i in range(len(bases))]
         oof = out_of_fold(self, bases, names)
+        centre = float(self.linear.total[0, self.linear.design.index[("y",)]] / self.linear.total[0, 0])
+        cells = fold_moments(oof, "y", names, "fold", self.k, centre)
+        total = sum(cells.values())
         errors, metas = [], {}
-        for j in range(self.k):
-            b0, w = ridge_meta(oof.filter(F.col("fold") != j), "y", names, alpha)
-            metas[j] = (w, b0)
-            guess = sum((F.lit(x) * F.col(c) for x, c in zip(w, names)), F.lit(b0))
-            mse = oof.filter(F.col("fold") == j).agg(F.avg((F.col("y") - guess) ** 2)).first()[0]
-            errors.append(({}, j, math.nan if mse is None else mse))
-        b0, w = ridge_meta(oof, "y", names, alpha)
+        for j, own in cells.items():
+            b0, w = meta_of(total - own, alpha)
+            metas[j] = (w, b0 + centre * (1 - sum(w)))
+            residual = np.array([-b0, *(-x for x in w), 1.0])
+            errors.append(({}, j, float(max(residual @ own @ residual, 0.0) / own[0, 0]) if own[0, 0] else math.nan))
+        b0, w = meta_of(total, alpha)
+        b0 += centre * (1 - sum(w))
         score, std = finite_rmse([m for _, _, m in errors])
         return Result("StackingRegressor", {}, score, std, [("{}", j, m) for _, j, m in errors],
                       PipelineModel(stages=[Branches([r.model for r in bases], w, b0)]),
@@ -324,17 +367,21 @@ def regressor(name: str, key: tuple, rounds: int | None, seed: int, train: DataF
                         checkpointInterval=10)
 
 
-def target_encoded(rows: DataFrame, num, cat, k: int, seed: int, key: str = "id"):
-    """(rows with cross-fitted encodings, pre-processing with the encoder of all rows for others)."""
-    imputer, mode = T.MedianImputer(num).fit(rows), T.ModeImputer(cat).fit(rows)
-    x = mode.transform(imputer.transform(rows)).withColumn("__te_fold", fold_col(key, k, seed, "te"))
+def target_pipeline(num, cat) -> Pipeline:
+    """median for numerics ∥ mode for categories: what target encoding starts from."""
+    return Pipeline(stages=[T.MedianImputer(num), T.ModeImputer(cat)])
+
+
+def target_encoded(rows: DataFrame, filled: PipelineModel, num, cat, k: int, seed: int, key: str = "id"):
+    """(rows with cross-fitted encodings, pre-processing with the encoder of all rows for others); ``filled`` fills gaps."""
+    x = filled.transform(rows).withColumn("__te_fold", fold_col(key, k, seed, "te"))
     stats = written(T.target_encoding_stats(x, cat, "y", "__te_fold"), "encodings")  # one row a level and fold
     full = T.TargetEncoder(cat, "y").fit(x)
     slots = VectorAssembler(inputCols=list(num) + [c + "_te" for c in cat], outputCol="features")
     for c in cat:
         s = stats.filter(F.col("column") == c).select(F.col("level").alias(c), "__te_fold", F.col("enc").alias(c + "_te"))
         x = x.join(s, [c, "__te_fold"], "left")
-    return slots.transform(x), PipelineModel(stages=[imputer, mode, full, slots])
+    return slots.transform(x), PipelineModel(stages=[*filled.stages, full, slots])
 
 
 def out_of_fold(train: Training, bases: list[Result], names: list[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
+from hearth.operators import ensemble as E
 from hearth.operators import explain as X
 from hearth.operators import fitted as FM
 from hearth.operators import kernel as KR
@@ -362,3 +363,29 @@ def test_encoders_of_a_million_levels(spark):
     assert isinstance(wide, LevelTableModel) and not isinstance(literal, LevelTableModel)
     a, b = ({r.id: (r.u_te, r.v_te) for r in m.transform(rows).collect()} for m in (wide, literal))
     assert a == {k: pytest.approx(v) for k, v in b.items()}
+
+
+@pytest.mark.parametrize("fold", [None, 1])
+@pytest.mark.parametrize("view", ["onehot", "ordinal", "categorical", "target"])
+def test_tree_views_from_shared_statistics_equal_fitted_ones(train, view, fold):
+    """Two categories of unlike level counts, gaps in both."""
+    df = train.df.withColumns({"d": F.when(F.col("id") % 7 > 1, F.concat(F.lit("l"), (F.col("id") % 7).cast("string")))})
+    one = S.Training(df, NUM, [*CAT, "d"], 3)
+    two = S.Training(df, NUM, [*CAT, "d"], 3)
+    two.few_levels = False  # every stage is fitted on the rows
+    shown = []
+    for t in (one, two):
+        rows, pre = t._prepared(view, fold)
+        new = pre.transform(t.df).select("id", F.col("features").cast("string").alias("held"))
+        both = rows.select("id", F.col("features").cast("string").alias("own")).join(new, "id")
+        shown.append((sorted(map(tuple, both.collect())), rows.schema["features"].metadata))
+    assert shown[0] == shown[1]
+
+
+def test_stack_sums_give_the_same_meta_model(train):
+    df = train.df.select("fold", "y", (F.col("y") * 0.9 + 0.1).alias("p"), F.coalesce("a", F.lit(0.0)).alias("q"))
+    cells = E.fold_moments(df, "y", ["p", "q"], "fold", 3, 1.5)
+    for j in range(3):
+        b0, w = E.ridge_meta(df.filter(F.col("fold") != j), "y", ["p", "q"], 10.0)
+        c0, v = E.meta_of(sum(cells.values()) - cells[j], 10.0)
+        assert np.allclose([b0, *w], [c0 + 1.5 * (1 - sum(v)), *v], atol=1e-9)
