@@ -128,6 +128,36 @@ def test_svr_meets_the_subgradient_conditions(train, c, eps):
     assert np.abs(from_edge.T @ np.clip(u, 0, 1) - want).max() < 0.05 * len(r) ** 0.5
 
 
+def test_fold_problems_start_from_the_solution_of_all_rows(spark, monkeypatch):
+    df = assign_folds(spark.createDataFrame(table(20000), "id long, a double, b double, c string, y double"), 3, 1)
+    train = S.Training(written(df, "search-large"), NUM, CAT, 3, features=24)
+    views = {t: KR.view_of(train.linear, None if t == KR.ALL else t) for t in (KR.ALL, 0, 1, 2)}
+    fmap, collect, open_ = KR.FourierMap(0.2, 24, 42), KR._collect, []
+
+    def counted(parts, names):
+        found = collect(parts, names)
+        open_.append(len(found))
+        return found
+    monkeypatch.setattr(KR, "_collect", counted)
+    got = KR.svr_solve(train.df, views, fmap, [(5.0, 0.05)])
+    warm = sum(open_)
+    open_.clear()
+    cold = [KR.svr_solve(train.df, {t: view}, fmap, [(5.0, 0.05)])[0] for t, view in views.items()]
+    assert warm < sum(open_)
+    assert [r[:3] for r in got] == [r[:3] for r in cold]
+    for g, c in zip(got, cold):
+        assert g[3] == pytest.approx(c[3], abs=1e-3) and g[4] == pytest.approx(c[4], abs=1e-3)
+        assert g[5] == pytest.approx(c[5], rel=1e-4)
+
+
+def test_cosine_of_turns_equals_the_cosine():
+    u = np.concatenate([np.linspace(-3, 3, 10001), [1e6 + 0.3, -0.25, 0.5, np.nan, np.inf]])
+    got = u.copy()
+    KR._cos_of_turns(got)
+    want = np.cos(2 * math.pi * (u - np.rint(u)))
+    assert np.allclose(got, want, rtol=0, atol=1e-14, equal_nan=True)
+
+
 def test_svr_search_scores_held_out_rows(train):
     r = train.search("SVR_RBF", {"C": [1.0, 5.0], "gamma": ["scale"], "epsilon": [0.05]})
     p = pdf_of(train)
