@@ -419,3 +419,38 @@ def test_stack_sums_give_the_same_meta_model(train):
         b0, w = E.ridge_meta(df.filter(F.col("fold") != j), "y", ["p", "q"], 10.0)
         c0, v = E.meta_of(sum(cells.values()) - cells[j], 10.0)
         assert np.allclose([b0, *w], [c0 + 1.5 * (1 - sum(v)), *v], atol=1e-9)
+
+
+def passes_of(monkeypatch):
+    passes, collect = [], KR._collect
+    monkeypatch.setattr(KR, "_collect", lambda *a: passes.append(1) or collect(*a))
+    return passes
+
+
+def test_feature_ridge_takes_one_pass_and_equals_mllib(train, monkeypatch):
+    from hearth.operators import trees as TR
+    passes = passes_of(monkeypatch)
+    found = KR.fold_rmse(train.df, train.linear, 0.001, KR.FourierMap(0.01, 64, 42))
+    expected = TR.fold_rmse(train.df, lambda: TR._RFFPipeline(NUM, CAT, "squaredError", 0.001, 0.01, 64, 0), 3)
+    assert [j for j, _ in found] == [0, 1, 2] and len(passes) == 1
+    assert np.allclose([r for _, r in found], [r for _, r in expected], rtol=1e-7)
+
+
+def test_huber_folds_share_their_passes(train, monkeypatch):
+    passes = passes_of(monkeypatch)
+    found = KR.fold_rmse(train.df, train.linear, 0.001, KR.FourierMap(0.01, 64, 42), "huber")
+    assert [j for j, _ in found] == [0, 1, 2] and 2 <= len(passes) <= 40
+    assert all(r < 0.6 for _, r in found)  # MLlib stops on this table before its minimum
+
+
+def test_huber_solution_has_no_slope(train):
+    views = {j: KR.view_of(train.linear, j) for j in range(3)}
+    fmap = KR.FourierMap(0.05, 16, 1)
+    found = KR.huber_solve(train.df, views, fmap, 0.01, {j: np.append(np.zeros(17), 1.0) for j in views})
+    pdf = pdf_of(train)
+    for j, p in found.items():
+        own = pdf[pdf["fold"] != j]
+        z1 = np.column_stack([fmap.of(KR.matrix(views[j], own)), np.ones(len(own))])
+        loss = lambda q: KR._huber_sums(z1, own["y"].to_numpy(), q)[1] / len(own) + 0.005 * (q[:16] ** 2).sum()
+        slopes = [(loss(p + 1e-5 * e) - loss(p - 1e-5 * e)) / 2e-5 for e in np.eye(18)]
+        assert np.abs(slopes).max() < 1e-6
