@@ -454,3 +454,19 @@ def test_huber_solution_has_no_slope(train):
         loss = lambda q: KR._huber_sums(z1, own["y"].to_numpy(), q)[1] / len(own) + 0.005 * (q[:16] ** 2).sum()
         slopes = [(loss(p + 1e-5 * e) - loss(p - 1e-5 * e)) / 2e-5 for e in np.eye(18)]
         assert np.abs(slopes).max() < 1e-6
+
+
+def test_forest_grid_equals_fits_of_their_own_depth(train, monkeypatch):
+    asked, regressor = [], S.regressor
+    monkeypatch.setattr(S, "regressor", lambda *a: asked.append(a[1]) or regressor(*a))
+    grid = {"trees": [5], "max_depth": [1, 3, 6], "min_leaf": [1, 4]}
+    found = train.search("RandomForest", grid)
+    errors = {(p, j): m for p, j, m in found.rows}
+    assert len(errors) == 6 * 3 and len(asked) == 2 * 3 + 1  # the deepest forest a fold and leaf size, and the refit
+    for j in range(3):
+        rows, pre = train._prepared("onehot", j)
+        held = pre.transform(train.df.filter(F.col("fold") == j))
+        for p in S.points(grid):
+            alone = regressor("RandomForest", S._fit_key("RandomForest", p), None, train.seed, rows).fit(train._kept(rows))
+            mse = alone.transform(held).agg(F.avg((F.col("y") - F.col("prediction")) ** 2)).first()[0]
+            assert abs(errors[S.as_json(p), j] - mse) < 1e-9
