@@ -63,17 +63,22 @@ def _leaf_table(z: np.ndarray, worth: float) -> np.ndarray:
     return table
 
 
-def extract(model) -> dict:
-    """Leaf tables of a fitted GBT/forest/tree regression model (driver side)."""
+def _mllib_leaves(model):
     trees = getattr(model, "trees", None) or [model]
     weights = list(getattr(model, "treeWeights", [1.0] * len(trees)))
     if type(model).__name__.startswith("RandomForest"):
         weights = [1.0 / len(trees)] * len(trees)
-    out_leaves, base = [], 0.0
     for t, w in zip(trees, weights):
         root = t._java_obj.rootNode()
         leaves = []
         _walk(root, [], leaves, float(root.impurityStats().count()))
+        yield w, leaves
+
+
+def extract(model) -> dict:
+    """Leaf tables of a fitted GBT/forest/tree regression model or ``BoostedTrees`` (driver side)."""
+    out_leaves, base = [], 0.0
+    for w, leaves in model.leaves() if hasattr(model, "leaves") else _mllib_leaves(model):
         for value, path, frac in leaves:
             base += w * value * frac
             feats = sorted({f for f, _, _, _ in path})
