@@ -63,3 +63,19 @@ def test_passes_of_few_cells_give_the_same_trees(train, monkeypatch):
     monkeypatch.setattr(B, "JOBS_AT_ONCE", 2)
     b = train.tree_models("GBT_Categorical", point)[0].stages[-1].s
     assert a == b
+
+
+def test_thresholds_come_from_the_rows_that_mllib_draws(spark):
+    rng = np.random.default_rng(4)
+    n = 16_000  # more than MLlib looks at, outside a fold too
+    a, b = rng.normal(size=n), rng.normal(size=n)
+    rows = [(k, float(a[k]), float(b[k]), "x" if k % 3 else "y", float(a[k] + np.sin(3 * b[k]))) for k in range(n)]
+    df = assign_folds(spark.createDataFrame(rows, "id long, a double, b double, c string, y double").coalesce(1), 3, 1)
+    train = S.Training(written(df, "boosting-drawn"), ["a", "b"], ["c"], 3)
+    grown = train.tree_models("GBT_Ordinal", {"rounds": 1, "rate": 0.3, "leaves": 15})
+    for fold in (None, 2):
+        rows, pre = train._prepared("ordinal", fold)
+        rows = rows.select("y", "features").coalesce(1)
+        own = GBTRegressor(featuresCol="features", labelCol="y", maxIter=1, maxDepth=4, seed=42, maxBins=64).fit(rows)
+        want, got = extract(own), extract(grown[fold].stages[-1])
+        assert [x[1] for x in got["leaves"]] == [x[1] for x in want["leaves"]]  # the conditions on the way to every leaf
