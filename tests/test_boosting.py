@@ -79,3 +79,42 @@ def test_thresholds_come_from_the_rows_that_mllib_draws(spark):
         own = GBTRegressor(featuresCol="features", labelCol="y", maxIter=1, maxDepth=4, seed=42, maxBins=64).fit(rows)
         want, got = extract(own), extract(grown[fold].stages[-1])
         assert [x[1] for x in got["leaves"]] == [x[1] for x in want["leaves"]]  # the conditions on the way to every leaf
+
+
+def test_joint_codes_hold_every_feature():
+    """Features share codes, and their sums and tables are those of the single features."""
+    rng = np.random.default_rng(5)
+    coding = B.Coding({"a": np.arange(900.0), "b": np.arange(7.0)}, {"c": ["x", "y"], "d": list("pqrst")})
+    layout = B.Layout.of(coding)
+    assert sorted(f for g in layout.groups for f in g) == [0, 1, 2, 3] and len(layout.groups) == 2
+    codes, r = np.array([rng.integers(0, s, 500) for s in layout.sizes]), rng.normal(size=500)
+    joint = []
+    for group in layout.groups:
+        at = np.zeros(500, np.int64)
+        for f in group:
+            at = at * layout.sizes[f] + codes[f]
+        joint.append(at)
+    sums = layout.by_feature([np.bincount(at, weights=r, minlength=n)[None] for at, n in zip(joint, layout.joint_sizes)])
+    for f, size in enumerate(layout.sizes):
+        assert np.allclose(sums[f][0], np.bincount(codes[f], weights=r, minlength=size), atol=1e-12)
+        table = rng.integers(0, 9, size)
+        g, spread = layout.spread(f, table)
+        assert (spread[joint[g]] == table[codes[f]]).all()
+
+
+def test_siblings_from_their_parent(train, monkeypatch):
+    """Of two children the one with fewer rows is added up; the trees are those of both added up."""
+    rng = np.random.default_rng(6)
+    count = rng.integers(0, 3, (4, 9)).astype(float)
+    full = np.stack([count, np.where(count > 0, rng.normal(size=(4, 9)), 0.0)])
+    tree = B.Tree([B.Node(1.0, 0.0) for _ in range(3)] + [B.Node(n, 0.0) for n in count.sum(1)], open=[3, 4, 5, 6])
+    tree.parents = full[:, ::2] + full[:, 1::2]
+    assert len(tree.counted) == 2
+    assert np.allclose(tree.all_sums(full[:, [at - 3 for at in tree.counted]]), full, atol=1e-12)
+
+    point = {"rounds": 3, "rate": 0.3, "max_depth": 3}
+    some = train.tree_models("GBT_Categorical", point)
+    monkeypatch.setattr(B, "KEPT_CELLS", 0)
+    every = train.tree_models("GBT_Categorical", point)
+    a, b = (dict(m[None].transform(train.df).select("id", "prediction").collect()) for m in (some, every))
+    assert a.keys() == b.keys() and max(abs(a[k] - b[k]) for k in a) < 1e-9
