@@ -118,3 +118,40 @@ def test_siblings_from_their_parent(train, monkeypatch):
     every = train.tree_models("GBT_Categorical", point)
     a, b = (dict(m[None].transform(train.df).select("id", "prediction").collect()) for m in (some, every))
     assert a.keys() == b.keys() and max(abs(a[k] - b[k]) for k in a) < 1e-9
+
+
+@pytest.mark.parametrize("name, point", [("GBT_Categorical", {"rounds": 12, "rate": 0.3, "max_depth": 4}),
+                                         ("GBT_Ordinal", {"rounds": 12, "rate": 0.3, "leaves": 31}),
+                                         ("GBT_TargetEncoded", {"rounds": 12, "rate": 0.3, "max_depth": 3})])
+def test_trees_of_a_task_are_those_of_shared_passes(train, monkeypatch, name, point):
+    """Over a checkpoint of the shared passes; errors after every round and the models' predictions."""
+    grid = {k: [v] for k, v in point.items()} | {"rounds": [1, 7, 12]}
+    apart, found = train.tree_models(name, point), train.search(name, grid)
+    monkeypatch.setattr(B, "LOCAL_CELLS", 0)
+    shared, again = train.tree_models(name, point), train.search(name, grid)
+    assert [r[:2] for r in found.rows] == [r[:2] for r in again.rows]
+    assert [r[2] for r in found.rows] == pytest.approx([r[2] for r in again.rows], rel=1e-9)
+    for fold in (None, 1):
+        a, b = (dict(m[fold].transform(train.df).select("id", "prediction").collect()) for m in (apart, shared))
+        assert a == {i: pytest.approx(v, rel=1e-9) for i, v in b.items()}
+
+
+def test_a_table_that_a_task_holds_takes_one_job_a_search(train, monkeypatch):
+    train._coded("ordinal")
+    jobs, collect = [], RDD.collect
+    monkeypatch.setattr(RDD, "collect", lambda rdd: jobs.append(1) or collect(rdd))
+    train.search("GBT_Ordinal", {"rounds": [40], "rate": [0.1, 0.3], "leaves": [8]})
+    assert len(jobs) == 2  # the folds' fits and the refit, whatever the rounds
+
+
+def test_shared_passes_keep_one_checkpoint(train, monkeypatch):
+    monkeypatch.setattr(B, "LOCAL_CELLS", 0)
+    monkeypatch.setattr(B, "CHECKPOINT_ROUNDS", 1)
+    seen, forget = [], B._forget
+    monkeypatch.setattr(B, "_forget", lambda spark, paths: seen.append(list(paths)) or forget(spark, paths))
+    train.tree_models("GBT_Ordinal", {"rounds": 4, "rate": 0.3, "leaves": 4})
+    gone = [p for paths in seen for p in paths]
+    assert len(gone) >= 2 and max(map(len, seen)) == 1
+    jvm = train.df.sparkSession._jvm
+    for p in map(jvm.org.apache.hadoop.fs.Path, gone):
+        assert not p.getFileSystem(train.df.sparkSession._jsparkSession.sessionState().newHadoopConf()).exists(p)
