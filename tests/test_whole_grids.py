@@ -14,6 +14,7 @@ class Asked(Exception):
 
 @pytest.mark.parametrize("query, family", [
     ("gbt_categorical", "GBT_Categorical"),
+    ("gbt_target_encoded", "GBT_TargetEncoded"),
     ("gbt_ordinal", "GBT_Ordinal"),
 ])
 def test_tree_queries_search_the_whole_grid(spark, monkeypatch, query, family):
