@@ -24,3 +24,13 @@ def test_tree_queries_search_the_whole_grid(spark, monkeypatch, query, family):
     with pytest.raises(Asked) as asked:
         QUERIES[query](spark, SF_SMALL)
     assert asked.value.args == (family, S.FULL[family])
+
+
+def test_the_two_model_chain_runs_the_configuration_of_the_reference(spark, monkeypatch):
+    def fit(*_, cfg, **__):
+        raise Asked(cfg.rounds, cfg.depth, cfg.rate)
+    monkeypatch.setattr(Q, "fit_two_models", fit)
+    monkeypatch.setattr(Q, "_CHAINS", {})
+    with pytest.raises(Asked) as asked:
+        QUERIES["ensemble_fit"](spark, SF_SMALL)
+    assert asked.value.args == (1500, 6, 0.05)
