@@ -13,6 +13,7 @@ class Asked(Exception):
 
 
 @pytest.mark.parametrize("query, family", [
+    ("rf_fit", "RandomForest"),
     ("gbt_categorical", "GBT_Categorical"),
     ("gbt_target_encoded", "GBT_TargetEncoded"),
     ("gbt_ordinal", "GBT_Ordinal"),
