@@ -35,3 +35,22 @@ def test_the_two_model_chain_runs_the_configuration_of_the_reference(spark, monk
     with pytest.raises(Asked) as asked:
         QUERIES["ensemble_fit"](spark, SF_SMALL)
     assert asked.value.args == (1500, 6, 0.05)
+
+
+@pytest.mark.parametrize("query", ["best_model_predict", "model_comparison_all", "model_status", "permutation_importance",
+                                   "submission_per_model", "weighted_blend_fitted"])
+def test_the_store_searches_the_whole_grids(spark, monkeypatch, query):
+    asked = {}
+
+    def search(_, name, grid=None):
+        asked[name] = S.FULL[name] if grid is None else grid
+        raise ValueError(name)
+
+    def add(*_):
+        raise Asked()
+    monkeypatch.setattr(S.Training, "search", search)
+    monkeypatch.setattr(S.ModelStore, "add", add)
+    monkeypatch.setattr(Q, "_STORES", {})
+    with pytest.raises(Asked):
+        QUERIES[query](spark, SF_SMALL)
+    assert asked == S.FULL
