@@ -76,3 +76,14 @@ def test_leaf_table_of_a_deep_path_adds_up():
     bits = (np.arange(256)[:, None] >> np.arange(8)) & 1
     full = 3.0 * bits.prod(1)
     assert table.sum(1) == pytest.approx(full - 3.0 * z.prod())
+
+
+def test_tables_of_many_trees_are_made_in_the_tasks(fitted, monkeypatch):
+    """Kept or made anew for every batch: the same values, and none of them on the driver."""
+    from hearth.operators import treeshap
+    df, model = fitted
+    want = {r.id: r.shap for r in tree_shap(df, model).collect()}
+    monkeypatch.setattr(treeshap, "KEPT_CELLS", 0)
+    monkeypatch.setattr(treeshap, "_leaf_tables", None)  # here, not in the tasks
+    got = {r.id: r.shap for r in tree_shap(df, model).collect()}
+    assert got.keys() == want.keys() and all(np.allclose(got[k], want[k], atol=1e-12) for k in want)
