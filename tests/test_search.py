@@ -470,3 +470,21 @@ def test_forest_grid_equals_fits_of_their_own_depth(train, monkeypatch):
             alone = regressor("RandomForest", S._fit_key("RandomForest", p), None, train.seed, rows).fit(train._kept(rows))
             mse = alone.transform(held).agg(F.avg((F.col("y") - F.col("prediction")) ** 2)).first()[0]
             assert abs(errors[S.as_json(p), j] - mse) < 1e-9
+
+
+def test_trees_of_a_small_forest_are_those_of_mllib(train):
+    """Fully grown, so that most splits are of a few rows and many are equal; on the rows of a fold and refitted, saved and loaded."""
+    grid = {"trees": [30], "max_depth": [None, 4], "min_leaf": [1, 3]}
+    found = train.search("RandomForest", grid)
+    assert "BoostedTrees" in type(found.model.stages[-1]).__name__  # grown in tasks
+    errors = {(p, j): m for p, j, m in found.rows}
+    rows, pre = train._prepared("onehot", 1)
+    held = pre.transform(train.df.filter(F.col("fold") == 1))
+    for p in S.points(grid):
+        alone = S.regressor("RandomForest", S._fit_key("RandomForest", p), None, train.seed, rows).fit(train._kept(rows))
+        mse = alone.transform(held).agg(F.avg((F.col("y") - F.col("prediction")) ** 2)).first()[0]
+        assert errors[S.as_json(p), 1] == pytest.approx(mse, rel=1e-9)
+    rows, pre = train._prepared("onehot", None)
+    alone = S.regressor("RandomForest", S._fit_key("RandomForest", found.params), None, train.seed, rows).fit(train._kept(rows))
+    again = FM.load(FM.save(found.model, scratch_path(train.df.sparkSession, "small-forest")))
+    assert score(train, again) == pytest.approx(score(train, PipelineModel(stages=[pre, alone])), rel=1e-9)
